@@ -1,0 +1,328 @@
+"""One query per operator, each over whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import bindings as B
+from vigilframe import schema as S
+from vigilframe.functions import names as N
+from vigilframe.operators import audit, extract, lines, listing, match, update
+from vigilframe.operators.ladder import rule_no, with_levels
+from vigilframe.schema import BOUND, LEVELS
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+FLAG_COLUMNS = dict(enumerate(BOUND.flags))
+WORD_PATTERNS = ((r"\bTHE\b", "the"), (r"\bUND\b", "und"), (r"\bLES?\b", "les"))
+
+
+def ladder_levels(spark, sf):
+    return with_levels(B.register(spark, sf, B.T1), BOUND).select("id", *LEVELS)
+
+
+def ladder_rule_counts(spark, sf):
+    reg = B.register(spark, sf, B.T1)
+    return reg.groupBy(rule_no(BOUND).alias("rule_no")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fold_names(spark, sf):
+    return B.table(spark, sf, "documents").select("doc_id", N.fold_name(F.col("text")).alias("folded"))
+
+
+def split_names(spark, sf):
+    text = F.concat("p_name", F.lit(" ("), "p_brand", F.lit("), "), "p_type")
+    part = B.table(spark, sf, "part")
+    return part.select(F.col("p_partkey").alias("key"), F.posexplode(N.split_names(text)).alias("pos", "name"))
+
+
+def split_names_first(spark, sf):
+    text = F.concat("p_name", F.lit(" ("), "p_brand", F.lit(", x), "), "p_type", F.lit(" and more"))
+    names = N.split_names(text, pre_split=True, and_as_comma=True)
+    part = B.table(spark, sf, "part")
+    return part.select(F.col("p_partkey").alias("key"), F.posexplode(names).alias("pos", "name"))
+
+
+def program_tokens(spark, sf):
+    text = F.concat(F.upper("o_orderpriority"), F.lit("; "), "o_orderstatus").alias("programme")
+    # Programme texts repeat; they are made distinct before they are cut up.
+    texts = B.table(spark, sf, "orders").select(text).distinct()
+    return texts.select(F.explode(N.program_tokens(F.col("programme"))).alias("token")).distinct()
+
+
+def parse_values(spark, sf):
+    customer = B.table(spark, sf, "customer")
+    # Every seventh rank is a fraction, balances below zero have no score.
+    score = F.when(F.col("c_acctbal") >= 0, F.concat(F.col("c_acctbal").cast("decimal(12,2)").cast("string"), F.lit("/100")))
+    rank = F.concat(
+        F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 7 == 0, ".5").otherwise(""), F.lit(" /180")
+    )
+    return customer.select(
+        F.col("c_custkey").alias("id"),
+        N.parse_score(F.coalesce(score, F.lit("n.a."))).alias("s"),
+        N.parse_rank(rank).alias("r"),
+    ).select(
+        "id", F.col("s.value").alias("score"), F.col("r.value").alias("rank"), F.col("r.error").alias("rank_error")
+    )
+
+
+def alias_resolve(spark, sf):
+    customer = B.table(spark, sf, "customer")
+    nation = B.table(spark, sf, "nation")
+    names = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", F.lit("N").alias("source"), F.col("n_name").alias("name")
+    )
+    aliases = spark.createDataFrame(
+        [("N", "NATION_3", "NATION_30"), ("N", "NATION_4", "NATION_40"), ("N", "NATION_4", "NATION_41")],
+        "source string, from_name string, to_name string",
+    )
+    return listing.apply_aliases(names, aliases).select("c_custkey", "name")
+
+
+def _flag_zero(spark, sf):
+    return B.listing(spark, sf, B.T1).where(F.col("flag_no") == 0).select(F.col("o_custkey").alias("name"))
+
+
+def _customers(spark, sf):
+    return B.table(spark, sf, "customer").select("c_custkey")
+
+
+def membership_semi(spark, sf):
+    return match.members(_customers(spark, sf), _flag_zero(spark, sf), "c_custkey")
+
+
+def membership_anti(spark, sf):
+    return match.non_members(_customers(spark, sf), _flag_zero(spark, sf), "c_custkey")
+
+
+def status_for_all(spark, sf):
+    return match.status_for_all(_customers(spark, sf), _flag_zero(spark, sf), "c_custkey")
+
+
+def current_flags(spark, sf):
+    reg = B.register(spark, sf, B.T0)
+    asked = B.table(spark, sf, "customer").where(F.col("c_acctbal") < 0).select(F.upper("c_name").alias("name"))
+    return match.current_flags(reg, asked, "name_eng", ["f0", "f11"])
+
+
+def policy_u1(spark, sf):
+    return B.after_policies(spark, sf, (S.EU_AML, S.FATF_CALL))
+
+
+def policy_u2(spark, sf):
+    return B.after_policies(spark, sf, (S.FATF_MONITORING, S.FR_TAX, S.UK))
+
+
+def policy_u3(spark, sf):
+    return B.after_policies(spark, sf, (S.US_PROGRAMMES, S.EU_TAX))
+
+
+def policy_u4(spark, sf):
+    return B.after_policies(spark, sf, S.EU_MEASURE_FLAGS)
+
+
+def policy_u5(spark, sf):
+    return B.after_policies(spark, sf, S.FR_MEASURE_FLAGS)
+
+
+def policy_u6(spark, sf):
+    fetched = B.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.when(F.col("s_acctbal") >= 0, F.floor(F.col("s_acctbal") / 100).cast("int")).alias("cpi_score"),
+    )
+    reg = B.register(spark, sf, B.T0)
+    return update.update_values(reg, fetched, "id", ["cpi_score"]).select("id", "cpi_score")
+
+
+def or_merge(spark, sf):
+    status = F.when(F.col("o_totalprice") > 100000, "YES").otherwise("NO").alias("status")
+    flag_no = (F.col("o_orderkey") % B.N_FLAGS).alias("flag_no")
+    rows = B.window_orders(spark, sf, B.T1).select("o_custkey", flag_no, status)
+    return listing.or_merge(rows, ["o_custkey", "flag_no"])
+
+
+def listing_pivot(spark, sf):
+    return listing.unpack_flags(B.masks(spark, sf, B.T1), ["o_custkey"], BOUND.flags)
+
+
+def update_cells(spark, sf):
+    status = F.when(F.col("o_totalprice") > 100000, "YES").otherwise("NO").alias("status")
+    rows = B.window_orders(spark, sf, B.T1).select(
+        F.concat(F.lit("CUSTOMER#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("name"),
+        F.concat(F.lit("f"), F.col("o_orderkey") % B.N_FLAGS).alias("flag"),
+        status,
+    )
+    reg = B.register(spark, sf, B.T0)
+    updated = update.update_cells(reg, rows, BOUND, F.col("name_eng"), BOUND.flags)
+    return updated.select("id", *BOUND.flags)
+
+
+def names_per_flag(spark, sf):
+    rows = listing.listing_rows(B.register(spark, sf, B.T1), ["id", "name_eng"], BOUND.flags)
+    listed = rows.where(F.col("status") == "YES").select("flag", F.col("name_eng").alias("name"))
+    return listing.names_per_flag(listed)
+
+
+def flag_summary(spark, sf):
+    return listing.flag_summary(B.register(spark, sf, B.T1), ["id", "name_eng"], BOUND.flags)
+
+
+def unmatched_names(spark, sf):
+    known = B.table(spark, sf, "customer").where(F.col("c_mktsegment") != "BUILDING").select("c_custkey")
+    listed = B.listing(spark, sf, B.T1).select(F.col("o_custkey").alias("name"))
+    return match.unmatched_names(listed, known, "c_custkey")
+
+
+def attribute_lines(spark, sf):
+    turns = B.table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    opener = F.when(F.col("role") == "user", F.col("turn"))
+    carried = lines.attribute_lines(turns, ["conv_id"], "turn", opener, "open_turn")
+    return carried.select("conv_id", "turn", "open_turn")
+
+
+def _short(line):
+    return F.length(line) < 60
+
+
+def attribute_doc_lines(spark, sf):
+    docs = B.table(spark, sf, "documents").select("doc_id", "text")
+    return lines.attribute_doc_lines(docs, _short).select("doc_id", "pos", "open_pos")
+
+
+def tag_measures(spark, sf):
+    texts = lines.document_lines(B.table(spark, sf, "documents"))
+    folded = texts.select("doc_id", N.fold_name(F.col("line")).alias("line"))
+    return lines.tag_measures(folded, ["doc_id"], "line", WORD_PATTERNS)
+
+
+def take_until(spark, sf):
+    docs = B.table(spark, sf, "documents").select("doc_id", F.split("text", "\n", -1).alias("items"))
+    return docs.select("doc_id", F.posexplode(lines.items_until(F.col("items"), _short)).alias("pos", "line")).drop("line")
+
+
+def take_until_turns(spark, sf):
+    turns = B.table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    kept = lines.take_until(turns, ["conv_id"], "turn", F.col("role") == "assistant")
+    return kept.select("conv_id", "turn")
+
+
+def page_links(spark, sf):
+    return extract.links(B.table(spark, sf, "pages"), ["page_id"], body="html")
+
+
+def list_items(spark, sf):
+    return extract.list_items(B.table(spark, sf, "pages"), ["page_id"], body="html")
+
+
+def latest_publication(spark, sf):
+    orders = B.table(spark, sf, "orders")
+    found = orders.select("o_orderkey", N.latest_publication(F.col("o_orderdate")).alias("p"))
+    return found.select("o_orderkey", F.col("p.month").alias("month"), F.col("p.year").alias("year"))
+
+
+def latest_snapshot(spark, sf):
+    orders = B.table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+    as_of = F.lit("1997-12-31").cast("timestamp")
+    return listing.latest_snapshot(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], as_of)
+
+
+def slug_semi(spark, sf):
+    base = "https://example.org/lists/"
+    reg = B.table(spark, sf, "customer").select("c_custkey", "c_name")
+    listed = B.listing(spark, sf, B.T1).select(
+        F.concat(F.lit(base + "customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("link")
+    )
+    slug = N.slug_fr(N.fold_name(F.col("c_name")))
+    return match.reachable(reg, listed, slug, base).select("c_custkey")
+
+
+def match_theta(spark, sf):
+    customer = B.table(spark, sf, "customer")
+    nation = B.table(spark, sf, "nation")
+    reg = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    listed = nation.where(F.col("n_nationkey").isin(1, 2)).select(
+        F.when(F.col("n_nationkey") == 1, "NATION TEENS").otherwise(F.col("n_name")).alias("name")
+    )
+    return match.match_names(reg, listed, "c_custkey", "n_name", {"NATION TEENS": "NATION_1[0-9]"})
+
+
+def _diff(spark, sf):
+    old = with_levels(B.register(spark, sf, B.T0), BOUND)
+    new = with_levels(B.register(spark, sf, B.T1), BOUND)
+    return audit.diff_snapshots(old, new, "id")
+
+
+def diff_snapshots(spark, sf):
+    return _diff(spark, sf)
+
+
+def transitions(spark, sf):
+    return audit.transitions(_diff(spark, sf))
+
+
+def diff_sentinel(spark, sf):
+    reg = with_levels(B.register(spark, sf, B.T0), BOUND)
+    return audit.with_sentinel(audit.diff_snapshots(reg, reg, "id"))
+
+
+def check_changes_null_as_no(spark, sf):
+    reg = B.register(spark, sf, B.T0)
+    hits = B.hits(reg, B.masks(spark, sf, B.T1))
+    return audit.check_changes(reg, hits, "id", FLAG_COLUMNS, audit.CheckVariant(null_as_no=True, all_rows=True))
+
+
+def check_changes_listed(spark, sf):
+    reg = B.register(spark, sf, B.T0)
+    hits = B.hits(reg, B.masks(spark, sf, B.T1))
+    return audit.check_changes(reg, hits, "id", FLAG_COLUMNS, audit.CheckVariant())
+
+
+def dedupe_last_wins(spark, sf):
+    key = F.sha2(N.fold_name(F.col("text")), 256)
+    return listing.dedupe_last_wins(B.table(spark, sf, "documents"), key, "doc_id", key_name="digest")
+
+
+def union_listings(spark, sf):
+    """Both windows in one table; rows of the union per (name, flag), and whether both list it."""
+    old, new = (B.listing(spark, sf, w) for w in (B.T0, B.T1))
+    both = listing.common_names(old, new, ["o_custkey", "flag_no"]).withColumn("in_both", F.lit(True))
+    rows = listing.union_listings(old, new).groupBy("o_custkey", "flag_no").agg(F.count(F.lit(1)).alias("n"))
+    joined = rows.join(both, ["o_custkey", "flag_no"], "left")
+    return joined.select("o_custkey", "flag_no", "n", F.coalesce("in_both", F.lit(False)).alias("in_both"))
+
+
+def audit_ids(spark, sf):
+    changes = audit.transitions_of(_diff(spark, sf), "NO", "YES")
+    rows = audit.audit_rows(changes, "id", F.lit("2024-01-01").cast("timestamp"))
+    return rows.select("AuditID", "SanctionsMapId", "ColumnName")
+
+
+def full_run(spark, sf):
+    reg = B.register(spark, sf, B.T0)
+    listed = B.masks(spark, sf, B.T1)
+    pending = update.proposed(reg, B.hits(reg, listed), listed, BOUND)
+    return audit.with_sentinel(run_changes(pending, reg.columns))
+
+
+def run_changes(pending, columns):
+    from vigilframe.plans.run import changes_of
+
+    return changes_of(pending, columns, BOUND)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        ladder_levels, ladder_rule_counts, fold_names, split_names, split_names_first, program_tokens, parse_values,
+        alias_resolve, membership_semi, membership_anti, status_for_all, current_flags,
+        policy_u1, policy_u2, policy_u3, policy_u4, policy_u5, policy_u6,
+        or_merge, listing_pivot, update_cells, names_per_flag, flag_summary, unmatched_names,
+        attribute_lines, attribute_doc_lines, tag_measures, take_until, take_until_turns,
+        page_links, list_items, latest_publication, latest_snapshot, slug_semi, match_theta,
+        diff_snapshots, transitions, diff_sentinel, check_changes_null_as_no, check_changes_listed,
+        dedupe_last_wins, union_listings, audit_ids, full_run,
+    )
+}

@@ -42,11 +42,14 @@ def elements(html: Column, tag: str, *, cls: str | None = None) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is){open_tag(tag, cls=cls)}(.*?)</{tag}\s*>"), F.lit(1))
 
 
+# Tags whose end tag may be left out, and the containers that close them.
+_CONTAINERS = {"li": "ul|ol|menu", "tr": "table|tbody|thead|tfoot", "td": "tr|table|tbody"}
+
+
 def cells(html: Column, tag: str) -> Column:
-    """As ``elements`` for tags whose end tag may be left out (rows, cells, list items)."""
-    return F.regexp_extract_all(
-        html, F.lit(rf"(?is)<{tag}(?=[\s>/])[^>]*>(.*?)(?:</{tag}\s*>|(?=<{tag}[\s>/])|$)"), F.lit(1)
-    )
+    """As ``elements`` for rows, cells and list items, whose end tag may be left out."""
+    end = rf"</(?:{tag}|{_CONTAINERS[tag]})\s*>|(?=<{tag}[\s>/])|$"
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?=[\s>/])[^>]*>(.*?)(?:{end})"), F.lit(1))
 
 
 def first_element(html: Column, tag: str, *, cls: str | None = None) -> Column:

@@ -64,6 +64,10 @@ class RegisterLayout:
     rank: str | None
     flags: tuple[str, ...]
 
+    def number(self, flag: str) -> int:
+        """Position (and mask bit) of a canonical flag name, or of a flag column added to the 18."""
+        return FLAG_NO[flag] if flag in FLAG_NO else self.flags.index(flag)
+
     def flag(self, canonical: str) -> str:
         """This layout's column for one of the 18 canonical flag names."""
         return self.flags[FLAG_NO[canonical]]
