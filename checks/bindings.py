@@ -47,16 +47,19 @@ def register(spark: SparkSession, sf_dir: str, window: tuple[str, str], *, unnam
     joined = customer.join(
         masks(spark, sf_dir, window), F.col("c_custkey") == F.col("o_custkey"), "left"
     )
-    key = F.col("c_custkey")
-    name = F.when(key % 97 == 0, "CUBA").otherwise(F.upper("c_name"))
+    name = "if(c_custkey % 97 = 0, 'CUBA', upper(c_name))"
     if unnamed:
-        name = F.when(key % 89 != 0, name)
-    score = F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 100).cast("int"))
+        name = f"if(c_custkey % 89 <> 0, {name}, null)"
     flags = [
-        F.when(has_bit(F.col("yes"), i), "YES").when(key % 23 != i, "NO").alias(column)
+        f"case when {has_bit('yes', i)} then 'YES' when c_custkey % 23 <> {i} then 'NO' end as {column}"
         for i, column in enumerate(BOUND.flags)
     ]
-    return joined.select(key.alias("id"), name.alias("name_eng"), score.alias("cpi_score"), *flags)
+    return joined.selectExpr(
+        "c_custkey as id",
+        f"{name} as name_eng",
+        "case when c_acctbal >= 0 then cast(floor(c_acctbal / 100) as int) end as cpi_score",
+        *flags,
+    )
 
 
 def hits(reg: DataFrame, listed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from checks import bindings as B
 from vigilframe import schema as S
 from vigilframe.functions import names as N
 from vigilframe.operators import audit, extract, lines, listing, match, update
-from vigilframe.operators.ladder import rule_no, with_levels
+from vigilframe.operators.ladder import with_levels, with_rule_no
 from vigilframe.schema import BOUND, LEVELS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,8 @@ def ladder_levels(spark, sf):
 
 
 def ladder_rule_counts(spark, sf):
-    reg = B.register(spark, sf, B.T1)
-    return reg.groupBy(rule_no(BOUND).alias("rule_no")).agg(F.count(F.lit(1)).alias("n"))
+    numbered = with_rule_no(B.register(spark, sf, B.T1), BOUND)
+    return numbered.groupBy("rule_no").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fold_names(spark, sf):

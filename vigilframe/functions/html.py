@@ -80,7 +80,10 @@ _ENTITY_TEXT = {name: chr(code) for name, code in name2codepoint.items()} | {"ap
 
 def decode_entities(text: Column) -> Column:
     """Named and numeric character references to characters; anything else stays as written."""
-    names = F.create_map(*[F.lit(x) for pair in _ENTITY_TEXT.items() for x in pair])
+    # Two literals that Spark folds to one constant map; no reference stands for a plain space.
+    names = F.map_from_arrays(
+        F.split(F.lit(" ".join(_ENTITY_TEXT)), " "), F.split(F.lit(" ".join(_ENTITY_TEXT.values())), " ")
+    )
 
     def piece(p: Column, i: Column) -> Column:
         ref = F.regexp_extract(p, r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[0-9a-zA-Z]{2,8});", 1)

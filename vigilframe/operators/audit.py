@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe import reference_data as R
-from vigilframe.functions.names import flag_or_no, flags_differ
+from vigilframe.functions.names import flags_differ
 from vigilframe.operators.carry import with_dense_ids
+from vigilframe.operators.ladder import quoted
 from vigilframe.operators.listing import has_bit
 from vigilframe.schema import AUDIT_SCHEMA
 
@@ -21,23 +22,18 @@ SENTINEL_COLUMN = "None"
 SENTINEL_VALUE = "No changes detected"
 
 
-def changed_cells(df: DataFrame, key: str, cells: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+def changed_cells(df: DataFrame, key: str, cells: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Rows (key, column, old, new) for every cell whose two values differ, NULLs being equal.
 
-    Both values sit in one row, so nothing is joined; only rows with some change are unfolded.
+    ``cells`` gives SQL for the old and the new value of each column.  Both sit in one row, so
+    nothing is joined.  Callers drop rows without any change first.
     """
-    values = {c: (old.cast("string"), new.cast("string")) for c, (old, new) in cells.items()}
-    olds = F.struct(*[old.alias(c) for c, (old, _) in values.items()])
-    news = F.struct(*[new.alias(c) for c, (_, new) in values.items()])
-    changed = df.select(key, olds.alias("o"), news.alias("n")).where(~F.col("o").eqNullSafe(F.col("n")))
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col("o")[c].alias("old"), F.col("n")[c].alias("new"))
-            for c in values
-        ]
+    rows = ", ".join(
+        f"struct('{c}' as `column`, cast({old} as string) as old, cast({new} as string) as new)"
+        for c, (old, new) in cells.items()
     )
-    unfolded = changed.select(key, F.inline(rows))
-    return unfolded.where(~F.col("old").eqNullSafe(F.col("new")))
+    unfolded = df.selectExpr(quoted(key), f"inline(array({rows}))")
+    return unfolded.where("not (old <=> new)")
 
 
 def diff_snapshots(
@@ -49,12 +45,12 @@ def diff_snapshots(
     unfolded into cells.  ``added_removed`` also reports keys that only one snapshot has.
     """
     columns = [c for c in old.columns if c != key and c in new.columns] if columns is None else columns
-    left = old.select(key, F.struct(*columns).alias("__old"))
-    right = new.select(key, F.struct(*columns).alias("__new"))
+    values = ", ".join(quoted(c) for c in columns)
+    left = old.selectExpr(quoted(key), f"struct({values}) as __old")
+    right = new.selectExpr(quoted(key), f"struct({values}) as __new")
     both = left.join(right, key, "full" if added_removed else "inner")
-    return changed_cells(
-        both, key, {c: (F.col("__old")[c], F.col("__new")[c]) for c in columns}
-    )
+    changed = both.where("not (__old <=> __new)")
+    return changed_cells(changed, key, {c: (f"__old.{quoted(c)}", f"__new.{quoted(c)}") for c in columns})
 
 
 def with_sentinel(changes: DataFrame, key: str = "id") -> DataFrame:
@@ -126,17 +122,14 @@ def check_changes(
     how = "left" if variant.all_rows else "inner"
     joined = register.select(key, *flags.values()).join(hits.select(key, "yes", "seen"), key, how)
 
-    def current(column: str) -> Column:
-        return flag_or_no(F.col(column)) if variant.null_as_no else F.col(column)
-
-    def compared(i: int, column: str) -> Column:
-        yes = has_bit(F.coalesce("yes", F.lit(0).cast("long")), i)
-        status = F.when(yes, "YES").otherwise("NO")
-        asked = F.lit(True) if variant.all_rows else has_bit(F.col("seen"), i)
-        return F.struct(F.lit(column).alias("column"), current(column).alias("old"), status.alias("new"), asked.alias("asked"))
+    def compared(i: int, column: str) -> str:
+        old = f"coalesce({quoted(column)}, 'NO')" if variant.null_as_no else quoted(column)
+        new = f"if({has_bit('coalesce(yes, 0L)', i)}, 'YES', 'NO')"
+        asked = "true" if variant.all_rows else has_bit("seen", i)
+        return f"struct('{column}' as `column`, {old} as old, {new} as new, {asked} as asked)"
 
-    rows = F.array(*[compared(i, column) for i, column in flags.items()])
-    unfolded = joined.select(key, F.inline(rows)).where(F.col("asked")).drop("asked")
+    rows = ", ".join(compared(i, column) for i, column in flags.items())
+    unfolded = joined.selectExpr(quoted(key), f"inline(array({rows}))").where("asked").drop("asked")
     return unfolded.where(flags_differ(F.col("old"), F.col("new"), ignore_case=variant.ignore_case))
 
 
@@ -144,7 +137,7 @@ def check_values(register: DataFrame, updates: DataFrame, key: str, columns: Seq
     """C-06: (key, column, old, new) of fetched values that differ from the register's."""
     fetched = updates.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
     joined = register.select(key, *columns).join(fetched, key)
-    return changed_cells(joined, key, {c: (F.col(c), F.col(f"__{c}")) for c in columns})
+    return changed_cells(joined, key, {c: (quoted(c), quoted(f"__{c}")) for c in columns})
 
 
 def audit_rows(changes: DataFrame, key: str, at: datetime | Column, *, first_id: int | Column | None = 1) -> DataFrame:

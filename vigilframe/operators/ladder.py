@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,21 +24,24 @@ OUTCOMES = (
 )
 
 
-def first_match(predicates: Sequence[Column]) -> Column:
-    """Number (from 1) of the first predicate that is true; one past the last when none is.
+def quoted(column: str) -> str:
+    """A column name as it is written inside a SQL expression."""
+    return "`" + column.replace("`", "``") + "`"
 
-    NULL predicates do not match, as in SQL CASE.
+
+def first_match(conditions: Sequence[str]) -> Column:
+    """Number (from 1) of the first SQL condition that is true; one past the last when none is.
+
+    NULL conditions do not match.
     """
-    branches = F.when(predicates[0], F.lit(1))
-    for number, predicate in enumerate(predicates[1:], start=2):
-        branches = branches.when(predicate, F.lit(number))
-    return branches.otherwise(F.lit(len(predicates) + 1))
+    branches = " ".join(f"when {c} then {i}" for i, c in enumerate(conditions, start=1))
+    return F.expr(f"case {branches} else {len(conditions) + 1} end")
 
 
 def with_ladder(
-    df: DataFrame, rules: Sequence[Column], outputs: Sequence[str], outcomes: Sequence[Sequence[str]]
+    df: DataFrame, rules: Sequence[str], outputs: Sequence[str], outcomes: Sequence[Sequence[str]]
 ) -> DataFrame:
-    """R-03: appends output columns chosen by the first rule that holds.
+    """R-03: appends output columns chosen by the first rule (a SQL condition) that holds.
 
     ``outcomes`` has one row per rule and a last one for "otherwise".  The rule number is computed
     once; outcomes are then literals looked up by it.
@@ -48,42 +49,64 @@ def with_ladder(
     if len(outcomes) != len(rules) + 1:
         raise ValueError("a ladder needs one outcome per rule and one for otherwise")
     numbered = df.withColumn("__rule", first_match(rules))
-    picked = [
-        F.element_at(F.array(*[F.lit(row[i]) for row in outcomes]), F.col("__rule")).alias(name)
-        for i, name in enumerate(outputs)
-    ]
-    return numbered.select(*df.columns, *picked)
+    picked = []
+    for i, name in enumerate(outputs):
+        values = ", ".join("'" + row[i].replace("'", "\\'") + "'" for row in outcomes)
+        picked.append(f"element_at(array({values}), __rule) as {quoted(name)}")
+    return numbered.selectExpr(*[quoted(c) for c in df.columns], *picked)
+
+
+def flag_mask(layout: RegisterLayout, status: str) -> str:
+    """SQL for a bit mask of a row's flags that have a status (YES and NO both unset: NULL)."""
+    bits = " | ".join(
+        f"if({quoted(c)} = '{status}', {1 << i}L, 0L)" for i, c in enumerate(layout.flags)
+    )
+    return f"({bits})"
 
 
-def level_rules(layout: RegisterLayout) -> list[Column]:
+def bits_of(layout: RegisterLayout, flags: Sequence[str]) -> int:
+    return sum(1 << layout.number(f) for f in flags)
+
+
+def level_rules(layout: RegisterLayout, yes: str, no: str, score: str | None = None) -> list[str]:
     """The five conditions above "otherwise", three-valued as in the register.
 
-    A NULL flag satisfies neither YES nor NO: it can only drop a row to a later rule.  A listed UK
-    flag cancels rule 3, so an entity with measures and UK = YES ends at rule 4 or 6.
+    ``yes`` and ``no`` are SQL for the flag masks.  A NULL flag satisfies neither YES nor NO: it
+    can only drop a row to a later rule.  A listed UK flag cancels rule 3, so an entity with
+    measures and UK = YES ends at rule 4 or 6.
     """
 
-    def every(flags: Sequence[str], status: str) -> Column:
-        return reduce(and_, [F.col(c) == status for c in layout.columns(tuple(flags))])
+    def some(mask: str, *flags: str) -> str:
+        return f"({mask} & {bits_of(layout, flags)}L) <> 0"
 
-    def some(flags: Sequence[str], status: str) -> Column:
-        return reduce(or_, [F.col(c) == status for c in layout.columns(tuple(flags))])
+    def every(mask: str, *flags: str) -> str:
+        wanted = bits_of(layout, flags)
+        return f"({mask} & {wanted}L) = {wanted}L"
 
-    call, uk, us = (F.col(layout.flag(f)) for f in (S.FATF_CALL, S.UK, S.US_PROGRAMMES))
     return [
-        (call == "YES") | (F.col(layout.name_eng) == "CUBA"),
-        some(LISTS, "YES") & (call == "NO"),
-        some(MEASURES, "YES") & every(LISTS, "NO") & (uk == "NO"),
-        F.col(layout.score) >= 50,
-        ((uk == "YES") | (us == "YES")) & every(MEASURES, "NO") & every(LISTS, "NO"),
+        f"{some(yes, S.FATF_CALL)} or {quoted(layout.name_eng)} = 'CUBA'",
+        f"{some(yes, *LISTS)} and {every(no, S.FATF_CALL)}",
+        f"{some(yes, *MEASURES)} and {every(no, *LISTS, S.UK)}",
+        f"{quoted(score or layout.score)} >= 50",
+        f"{some(yes, S.UK, S.US_PROGRAMMES)} and {every(no, *MEASURES, *LISTS)}",
     ]
 
 
-def rule_no(layout: RegisterLayout) -> Column:
+def _masked(register: DataFrame, layout: RegisterLayout) -> DataFrame:
+    return register.selectExpr(
+        "*", f"{flag_mask(layout, 'YES')} as __yes", f"{flag_mask(layout, 'NO')} as __no"
+    )
+
+
+def with_rule_no(register: DataFrame, layout: RegisterLayout, out: str = "rule_no") -> DataFrame:
     """R-01: number of the rule that decides a row's levels."""
-    return first_match(level_rules(layout))
+    masked = _masked(register, layout)
+    numbered = masked.withColumn(out, first_match(level_rules(layout, "__yes", "__no")))
+    return numbered.drop("__yes", "__no")
 
 
 def with_levels(register: DataFrame, layout: RegisterLayout) -> DataFrame:
     """R-02: the register with its three derived columns (recomputed if present)."""
-    bare = register.drop(*LEVELS)
-    return with_ladder(bare, level_rules(layout), LEVELS, OUTCOMES)
+    masked = _masked(register.drop(*LEVELS), layout)
+    rules = level_rules(layout, "__yes", "__no")
+    return with_ladder(masked, rules, LEVELS, OUTCOMES).drop("__yes", "__no")

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilframe.operators.ladder import quoted
 from vigilframe.schema import FLAGS
 
 LISTING_COLUMNS = ("source", "name", "flag", "status")
@@ -54,7 +55,7 @@ def bit(flag_no: Column) -> Column:
 
 def flag_number(flag: Column, flags: Sequence[str] = FLAGS) -> Column:
     """Position of a flag name, NULL for an unknown one."""
-    position = F.array_position(F.array(*[F.lit(f) for f in flags]), flag).cast("int")
+    position = F.array_position(F.split(F.lit(",".join(flags)), ","), flag).cast("int")
     return F.when(position > 0, position - 1)
 
 
@@ -78,17 +79,15 @@ def listing_masks(listing: DataFrame, keys: Sequence[str], flags: Sequence[str]
     )
 
 
-def has_bit(mask: Column, flag_no: int) -> Column:
-    return mask.bitwiseAND(F.lit(1 << flag_no)) != 0
+def has_bit(mask: str, flag_no: int) -> str:
+    """SQL condition: a flag's bit is set in a mask."""
+    return f"({mask} & {1 << flag_no}L) <> 0"
 
 
 def unpack_flags(masks: DataFrame, keys: Sequence[str], flags: Sequence[str], *, mask: str = "yes") -> DataFrame:
     """Mask to one YES/NO column per flag."""
-    columns = [
-        F.when(has_bit(F.col(mask), i), "YES").otherwise("NO").alias(flag)
-        for i, flag in enumerate(flags)
-    ]
-    return masks.select(*keys, *columns)
+    columns = [f"if({has_bit(mask, i)}, 'YES', 'NO') as {quoted(flag)}" for i, flag in enumerate(flags)]
+    return masks.selectExpr(*[quoted(k) for k in keys], *columns)
 
 
 def listing_pivot(listing: DataFrame, flags: Sequence[str] = FLAGS, keys: Sequence[str] = ("name",)) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe import schema as S
+from vigilframe.operators.ladder import flag_mask, quoted
 from vigilframe.operators.listing import has_bit, listing_masks
 from vigilframe.schema import FLAGS, RegisterLayout
 
@@ -48,12 +49,14 @@ POLICIES: dict[str, Policy] = {
 }
 
 
-def next_status(policy: Policy, *, old: Column, name: Column, hit: Column, seen: Column, listed: Column, matched: Column) -> Column:
-    """A flag's new status under a policy.
+def policy_masks(
+    policies: Mapping[str, Policy], layout: RegisterLayout, *, old_yes: str, hit: str, seen: str, listed: str, matched: str
+) -> tuple[str, str]:
+    """SQL for the flags that a row's memberships set to YES and to NO, for all policies at once.
 
-    ``hit``: the row is listed with YES; ``seen``: listed with any status; ``listed``: the
-    listing has a row for this flag; ``matched``: some register row is hit.  None of these four
-    may be NULL.  A row without a name can never be listed.
+    The arguments name columns with bit masks over flag numbers, never NULL.  ``hit``: listed with
+    YES; ``seen``: listed with any status; ``listed``: the listing has a row for the flag;
+    ``matched``: some register row is hit.  A row without a name can never be listed.
 
     * U-1, U-2: listed YES, others NO, unknown names as before; nothing happens to an empty list.
     * U-3: listed YES, all others NO, unknown names too.
@@ -61,22 +64,26 @@ def next_status(policy: Policy, *, old: Column, name: Column, hit: Column, seen:
       (An update by name cannot reach a row without a name, so such a row keeps its YES.)
     * U-5: the listing's own YES or NO, others NO, unknown names as before.
     """
-    yes, no = F.lit("YES"), F.lit("NO")
-    if policy.kind in (U1, U2):
-        guard = listed & matched if policy.require_match else listed
-        new = F.when(hit, yes).when(name.isNull(), old).otherwise(no)
-    elif policy.kind == U3:
-        guard = listed
-        new = F.when(hit, yes).otherwise(no)
-    elif policy.kind == U4:
-        guard = matched
-        new = F.when(hit, yes).when((old == "YES") & name.isNotNull(), no).otherwise(old)
-    elif policy.kind == U5:
-        guard = listed
-        new = F.when(hit, yes).when(seen, no).when(name.isNull(), old).otherwise(no)
-    else:
-        raise ValueError(f"unknown policy {policy.kind}")
-    return F.when(guard, new).otherwise(old)
+
+    def where(test) -> str:
+        return f"{sum(1 << layout.number(flag) for flag, policy in policies.items() if test(policy))}L"
+
+    for policy in policies.values():
+        if policy.kind not in (U1, U2, U3, U4, U5):
+            raise ValueError(f"unknown policy {policy.kind}")
+    falling = where(lambda p: p.kind == U4)
+    by_list = where(lambda p: p.kind != U4 and not p.require_match)
+    by_list_and_match = where(lambda p: p.kind != U4 and p.require_match)
+    own_status = where(lambda p: p.kind == U5)
+    # Flags that anything happens to: their list is not empty and, if asked for, has matched.
+    active = f"(({listed} & {by_list}) | ({listed} & {matched} & {by_list_and_match}) | ({matched} & {falling}))"
+    kept = [
+        f"if({quoted(column)} is null, {where(lambda p, name=name: p.kind != U3 and p.name == name)}, 0L)"
+        for name, column in (("eng", layout.name_eng), ("fr", layout.name_fr))
+    ]
+    unnamed = f"(({' | '.join(kept)}) & ~({seen} & {own_status}))"
+    resettable = f"({by_list} | {by_list_and_match} | ({old_yes} & {falling}))"
+    return f"{active} & {hit}", f"{active} & {resettable} & ~{unnamed} & ~{hit}"
 
 
 def _any(df: DataFrame, mask: str) -> Column:
@@ -84,6 +91,9 @@ def _any(df: DataFrame, mask: str) -> Column:
     return df.agg(F.coalesce(F.bit_or(mask), F.lit(0).cast("long"))).scalar()
 
 
+SET_YES, SET_NO, OLD_YES, OLD_NO = "__set_yes", "__set_no", "__old_yes", "__old_no"
+
+
 def proposed(
     register: DataFrame,
     hits: DataFrame,
@@ -91,44 +101,51 @@ def proposed(
     layout: RegisterLayout,
     policies: Mapping[str, Policy] | None = None,
 ) -> DataFrame:
-    """The register with, per updated flag, its old value and ``new__<flag>`` beside it.
+    """The register with masks of the flags that are YES, that are NO, and that would be set.
 
     ``hits`` is ``(key, yes, seen)`` for listed rows, ``masks`` the listing itself with its
     ``yes`` and ``seen`` masks over any keys.
     """
     policies = POLICIES if policies is None else policies
+    needs_match = any(p.kind == U4 or p.require_match for p in policies.values())
+    columns = [quoted(c) for c in register.columns]
     joined = register.join(hits.select(layout.key, "yes", "seen"), layout.key, "left")
-    zero = F.lit(0).cast("long")
-    marked = joined.select(
-        *register.columns,
-        F.coalesce("yes", zero).alias("__yes"),
-        F.coalesce("seen", zero).alias("__seen"),
+    guarded = joined.select(
+        "*",
         _any(masks, "seen").alias("__listed"),
-        _any(hits, "yes").alias("__matched"),
+        (_any(hits, "yes") if needs_match else F.lit(0).cast("long")).alias("__matched"),
     )
-    names = {"eng": F.col(layout.name_eng), "fr": F.col(layout.name_fr)}
-    new = []
-    for flag, policy in policies.items():
-        i = layout.number(flag)
-        status = next_status(
-            policy,
-            old=F.col(layout.flags[i]),
-            name=names[policy.name],
-            hit=has_bit(F.col("__yes"), i),
-            seen=has_bit(F.col("__seen"), i),
-            listed=has_bit(F.col("__listed"), i),
-            matched=has_bit(F.col("__matched"), i),
-        )
-        new.append(status.alias(f"new__{layout.flags[i]}"))
-    return marked.select(*register.columns, *new)
-
-
-def settle(pending: DataFrame, register_columns: Sequence[str]) -> DataFrame:
-    """Keeps the new side of a ``proposed`` register under the original column names."""
-    new = set(pending.columns)
-    return pending.select(
-        *[F.col(f"new__{c}").alias(c) if f"new__{c}" in new else F.col(c) for c in register_columns]
+    marked = guarded.selectExpr(
+        *columns,
+        f"{flag_mask(layout, 'YES')} as {OLD_YES}",
+        f"{flag_mask(layout, 'NO')} as {OLD_NO}",
+        "coalesce(yes, 0L) as __hit",
+        "coalesce(seen, 0L) as __seen",
+        "__listed",
+        "__matched",
     )
+    set_yes, set_no = policy_masks(
+        policies, layout, old_yes=OLD_YES, hit="__hit", seen="__seen", listed="__listed", matched="__matched"
+    )
+    return marked.selectExpr(*columns, OLD_YES, OLD_NO, f"{set_yes} as {SET_YES}", f"{set_no} as {SET_NO}")
+
+
+def new_flag(column: str, number: int) -> str:
+    """SQL for a flag of a ``proposed`` register after the update."""
+    return (
+        f"case when {has_bit(SET_YES, number)} then 'YES' when {has_bit(SET_NO, number)} then 'NO' "
+        f"else {quoted(column)} end"
+    )
+
+
+def settle(pending: DataFrame, layout: RegisterLayout, columns: Sequence[str], policies: Mapping[str, Policy] | None = None) -> DataFrame:
+    """The register a ``proposed`` one becomes, under its own column names."""
+    numbers = [layout.number(f) for f in (POLICIES if policies is None else policies)]
+    new = {layout.flags[i]: new_flag(layout.flags[i], i) for i in numbers}
+    for value in (layout.score, layout.rank):
+        if f"new__{value}" in pending.columns:
+            new[value] = quoted(f"new__{value}")
+    return pending.selectExpr(*[f"{new.get(c, quoted(c))} as {quoted(c)}" for c in columns])
 
 
 def apply_masks(
@@ -139,7 +156,8 @@ def apply_masks(
     policies: Mapping[str, Policy] | None = None,
 ) -> DataFrame:
     """Register after its flags have been updated from resolved listing masks."""
-    return settle(proposed(register, hits, masks, layout, policies), register.columns)
+    pending = proposed(register, hits, masks, layout, policies)
+    return settle(pending, layout, register.columns, policies)
 
 
 def apply_listing(
@@ -166,13 +184,11 @@ def update_cells(
     named = register.withColumn("__name", key)
     joined = named.join(masks, F.col("__name") == F.col("name"), "left")
     cells = {
-        column: F.when(has_bit(F.col("yes"), i), "YES")
-        .when(has_bit(F.col("seen"), i), "NO")
-        .otherwise(F.col(column))
-        .alias(column)
+        column: f"case when {has_bit('yes', i)} then 'YES' when {has_bit('seen', i)} then 'NO' "
+        f"else {quoted(column)} end as {quoted(column)}"
         for i, column in enumerate(layout.flags)
     }
-    return joined.select(*[cells.get(c, F.col(c)) for c in register.columns])
+    return joined.selectExpr(*[cells.get(c, quoted(c)) for c in register.columns])
 
 
 def update_values(

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilframe.operators.audit import audit_rows, changed_cells, with_sentinel
-from vigilframe.operators.ladder import OUTCOMES, level_rules, with_ladder, with_levels
+from vigilframe.operators.ladder import OUTCOMES, level_rules, quoted, with_ladder, with_levels
 from vigilframe.operators.listing import mask_of
 from vigilframe.operators.match import name_keys, resolve_hits
-from vigilframe.operators.update import proposed, settle
+from vigilframe.operators.update import OLD_NO, OLD_YES, SET_NO, SET_YES, Policy, new_flag, proposed, settle
 from vigilframe.plans.updaters import SOURCES, Inputs, Source, cpi_values, register_keys
 from vigilframe.schema import LEVELS, LISTING_SCHEMA, RegisterLayout
 from vigilframe.sources import sinks
@@ -25,25 +25,23 @@ log = logging.getLogger(__name__)
 def changes_of(pending: DataFrame, columns: Sequence[str], layout: RegisterLayout) -> DataFrame:
     """C-01 within one run: old and new values share a row, so no snapshot is joined.
 
-    Levels are derived on both sides and compared like any other column.
+    Rows are first filtered by their masks; levels, which follow from flags and score, are then
+    derived on both sides and compared like any other column.
     """
-
-    def new(column: str) -> str:
-        return f"new__{column}" if f"new__{column}" in pending.columns else column
-
-    after = replace(
-        layout,
-        score=new(layout.score),
-        rank=new(layout.rank) if layout.rank else None,
-        flags=tuple(new(f) for f in layout.flags),
+    values = [c for c in (layout.score, layout.rank) if c and f"new__{c}" in pending.columns]
+    moved = [f"(({SET_YES} & ~{OLD_YES}) | ({SET_NO} & ~{OLD_NO})) <> 0"]
+    moved += [f"not ({quoted(c)} <=> {quoted(f'new__{c}')})" for c in values]
+    changed = pending.where(" or ".join(moved)).selectExpr(
+        "*",
+        f"({OLD_YES} & ~{SET_NO}) | {SET_YES} as __new_yes",
+        f"({OLD_NO} & ~{SET_YES}) | {SET_NO} as __new_no",
     )
-    levelled = with_ladder(pending, level_rules(layout), LEVELS, OUTCOMES)
-    levelled = with_ladder(levelled, level_rules(after), [f"new__{c}" for c in LEVELS], OUTCOMES)
-    cells = {
-        c: (F.col(c), F.col(f"new__{c}"))
-        for c in (*columns, *LEVELS)
-        if f"new__{c}" in levelled.columns
-    }
+    new_score = f"new__{layout.score}" if layout.score in values else layout.score
+    levelled = with_ladder(changed, level_rules(layout, OLD_YES, OLD_NO), LEVELS, OUTCOMES)
+    after = level_rules(layout, "__new_yes", "__new_no", new_score)
+    levelled = with_ladder(levelled, after, [f"new__{c}" for c in LEVELS], OUTCOMES)
+    cells = {c: (quoted(c), new_flag(c, i)) for i, c in enumerate(layout.flags) if c in columns}
+    cells |= {c: (quoted(c), quoted(f"new__{c}")) for c in (*values, *LEVELS)}
     return changed_cells(levelled, layout.key, cells)
 
 
@@ -71,6 +69,10 @@ def _canonical(layout: RegisterLayout) -> list[str]:
     return [*FLAGS, *layout.flags[len(FLAGS) :]]
 
 
+def policies_of(sources: Sequence[Source]) -> dict[str, Policy]:
+    return {flag: policy for s in sources for flag, policy in s.policies.items()}
+
+
 def propose(
     register: DataFrame,
     masks: DataFrame,
@@ -80,8 +82,7 @@ def propose(
     layout: RegisterLayout,
 ) -> DataFrame:
     """The register with every new value beside its old one, from all sources at once."""
-    policies = {flag: policy for s in sources for flag, policy in s.policies.items()}
-    pending = proposed(register, hits, masks, layout, policies)
+    pending = proposed(register, hits, masks, layout, policies_of(sources))
     if values is None:
         return pending
     columns = [c for c in (layout.score, layout.rank) if c]
@@ -157,7 +158,7 @@ def run(
     hits = _land(resolve_hits(keys, masks, layout.key), f"{work}/hits")
     pending = propose(register, masks, hits, values, sources, layout)
 
-    snapshot = sinks.write_register(settle(pending, register.columns), f"{out}/register", run_id)
+    snapshot = sinks.write_register(settle(pending, layout, register.columns, policies_of(sources)), f"{out}/register", run_id)
     audit_path = f"{out}/audit"
     changes = with_sentinel(changes_of(pending, register.columns, layout), layout.key)
     audit = audit_rows(changes, layout.key, inputs.at, first_id=next_audit_id(spark, audit_path, run_id))
