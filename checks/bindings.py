@@ -18,8 +18,22 @@ T1 = ("1997-10-01", "1998-04-01")
 N_FLAGS = len(FLAGS)
 
 
+# Declared, so that a read needs no job that looks at file footers first.
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def window_orders(spark: SparkSession, sf_dir: str, window: tuple[str, str]) -> DataFrame:

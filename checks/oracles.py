@@ -88,15 +88,19 @@ POLICY = {
 }
 
 
-def updated(unnamed: bool) -> str:
-    """Register T0 after listing T1; rows without a name cannot be listed."""
+def updated(unnamed: bool, by_name: bool = False) -> str:
+    """Register T0 after listing T1; rows without a name cannot be listed.
+
+    ``by_name``: the listing holds customer names, which rows called CUBA do not have.
+    """
+    findable = "name_eng is not null" + (" and name_eng <> 'CUBA'" if by_name else "")
     out = []
     for i in range(N):
-        hit = f"(coalesce(l{i}, 0) = 1 and name_eng is not null)"
+        hit = f"(coalesce(l{i}, 0) = 1 and {findable})"
         listed = f"(select count(*) > 0 from t1 where flag_no = {i})"
         matched = (
             f"(select count(*) > 0 from t1 join reg r on r.id = t1.o_custkey "
-            f"where t1.flag_no = {i} and r.name_eng is not null)"
+            f"where t1.flag_no = {i} and {findable})"
         )
         kind = POLICY[i]
         others = {
@@ -168,6 +172,54 @@ def _split_names(text: str, first: bool) -> str:
     return unnested("part", "p_partkey", array, "name").replace("select p_partkey, pos", "select p_partkey as key, pos", 1)
 
 
+STRIP = "regexp_replace({0}, '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g')"
+SHORT = "length(line) < 60"
+
+
+def kept(condition: str, value: str, column: str) -> str:
+    """Lines that satisfy a condition, renumbered in order."""
+    return (
+        f"select doc_id, row_number() over (partition by doc_id order by pos) - 1 as pos, {value} as {column} "
+        f"from ({LINES}) where {condition}"
+    )
+
+
+UNTIL = (
+    f"with l as ({LINES}), s as (select doc_id, min(pos) as stop from l where {SHORT} group by doc_id) "
+    f"select l.doc_id, pos, {STRIP.format('line')} as text from l left join s on l.doc_id = s.doc_id where stop is null or pos < stop"
+)
+PAGES_FOR_SCORE = (
+    "select *, case when c_acctbal < 0 then 404 when c_nationkey = 7 then 500 else 200 end as status from customer "
+    "where c_mktsegment <> 'MACHINERY'"
+)
+
+
+def listed(source: str, flag: str, number: int, extra: tuple[str, ...] = ()) -> str:
+    """Names that orders of window T1 list under a flag, and names that every page adds."""
+    rows = f"select '{source}' as source, {NAMED} as name, '{flag}' as flag, 'YES' as status from ({listing(T1)}) where flag_no = {number}"
+    for name in extra:
+        rows += f" union select '{source}', '{name}', '{flag}', 'YES' from ({listing(T1)}) where flag_no = {number}"
+    return rows
+
+
+def parsed(source: str, flags: dict[int, str]) -> str:
+    """All flags of every entity that is listed under one of them; rows called CUBA are not found."""
+    one = " union all ".join(
+        f"select {NAMED} as name, '{flag}' as flag, case when l{i} = 1 then 'YES' else 'NO' end as status from w where {{0}}"
+        for i, flag in flags.items()
+    )
+    some = "(" + " or ".join(f"l{i} = 1" for i in flags) + ") and o_custkey % 97 <> 0"
+    return f"with w as ({wide(T1)}) select '{source}' as source, * from ({one.format(some)})"
+
+
+FR_FLAGS = dict(enumerate((
+    "FR_ASSET_FREEZE", "FR_SECTORAL_EMBARGO", "FR_MILITARY_EMBARGO", "FR_INTERNAL_REPRESSION_EQUIPMENT",
+    "FR_INTERNAL_REPRESSION", "FR_SECTORAL_RESTRICTIONS", "FR_FINANCIAL_RESTRICTIONS", "FR_TRAVEL_BANS",
+)))
+EU_FLAGS = dict(enumerate(
+    ("EU_ASSET_FREEZE_AND_PROHIBITION_TO_MAKE_FUNDS_AVAILABLE", "EU_INVESTMENTS", "EU_FINANCIAL_MEASURES"), start=8
+))
+
 ORACLES: dict[str, str] = {
     "ladder_levels": f"select id, {', '.join(LEVELS)} from ({levelled(register(T1))})",
     "ladder_rule_counts": f"select {rule()} as rule_no, count(*) as n from ({register(T1)}) group by 1",
@@ -298,4 +350,39 @@ ORACLES: dict[str, str] = {
         f"from ({DIFF}) where old = 'NO' and new = 'YES'"
     ),
     "full_run": cells(levelled(register(T0)), levelled(updated(False)), DIFF_COLUMNS),
+    "document_page_lines": f"select doc_id, line from ({LINES}) where doc_id in (select doc_id from documents where length(text) > 0)",
+    "first_column": f"select doc_id, pos, {STRIP.format('line')} as name from ({LINES})",
+    "first_column_after_header": f"select doc_id, pos, {STRIP.format('line')} as name from ({LINES})",
+    "definitions": (
+        "select 'https://www.transparency.org/en/countries/' || lower(c_name) as url, status = 200 as has_term, "
+        "case when status = 200 and c_custkey % 13 <> 0 then cast(cast(c_acctbal as decimal(12,2)) as varchar) || '/100' end as value "
+        f"from ({PAGES_FOR_SCORE})"
+    ),
+    "bold_headings": kept(f"not ({SHORT})", STRIP.format("line"), "name"),
+    "paragraph_after": f"select doc_id, {STRIP.format('text')} as text from documents",
+    "bold_items_until": UNTIL,
+    "bold_spans": kept(f"not ({SHORT})", STRIP.format("line"), "text"),
+    "list_items_after": f"select doc_id, pos, {STRIP.format('line')} as text from ({LINES})",
+    "link_titles": kept(f"not ({SHORT})", STRIP.format("'Financial sanctions, ' || line"), "text"),
+    "links_after": kept(f"not ({SHORT})", "'https://example.org/a?b=1&c=2'", "href"),
+    "source_cpi": (
+        "select r.id, case when name_eng = 'CUBA' or status is null or status = 404 then null "
+        "when status = 500 or c_custkey % 13 = 0 then cpi_score "
+        "else cast(trunc(cast(c_acctbal as decimal(12,2))) as integer) end as cpi_score "
+        f"from ({register(T0)}) r left join ({PAGES_FOR_SCORE}) p on r.id = p.c_custkey"
+    ),
+    "source_eu_aml": listed("EU_AML", "EU_AML_HIGH_RISK_COUNTRIES", 11),
+    "source_eu_measures": parsed("EU_MEASURES", EU_FLAGS),
+    "source_eu_tax": listed("EU_TAX", "EU_LIST_OF_NON_COOPERATIVE_JURISDICTIONS", 15, ("ATLANTIS",))
+    + "".join(
+        f" union select 'EU_TAX', '{name}', null, 'UNDER WAY' from ({listing(T1)}) where flag_no = 15"
+        for name in ("AVALON", "LYONESSE")
+    ),
+    "source_fatf_call": listed("FATF_CALL", "FATF_HIGH_RISK_JURISDICTIONS_SUBJECT_TO_A_CALL_FOR_ACTION", 13),
+    "source_fatf_monitoring": listed("FATF_MONITORING", "FATF_JURISDICTIONS_UNDER_INCREASED_MONITORING", 14, ("NOWHERE",)),
+    "source_fr_measures": parsed("FR_MEASURES", FR_FLAGS),
+    "source_fr_tax": listed("FR_TAX", "FR_LIST_OF_NON_COOPERATIVE_JURISDICTIONS", 16),
+    "source_us_programmes": listed("US", "US_OFAC_SANCTIONS", 12, ("SDGT", "NPWMD")),
+    "source_uk": listed("UK", "UK_FINANCIAL_SANCTIONS", 17),
+    "run_from_publications": cells(levelled(register(T0)), levelled(updated(False, by_name=True)), DIFF_COLUMNS),
 }

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import bindings as B
+from checks import publications as P
 from vigilframe import schema as S
 from vigilframe.functions import names as N
 from vigilframe.operators import audit, extract, lines, listing, match, update
 from vigilframe.operators.ladder import with_levels, with_rule_no
+from vigilframe.plans import updaters
+from vigilframe.plans.run import changes_of, kind_masks, propose
 from vigilframe.schema import BOUND, LEVELS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,13 +308,94 @@ def full_run(spark, sf):
     reg = B.register(spark, sf, B.T0)
     listed = B.masks(spark, sf, B.T1)
     pending = update.proposed(reg, B.hits(reg, listed), listed, BOUND)
-    return audit.with_sentinel(run_changes(pending, reg.columns))
+    return audit.with_sentinel(changes_of(pending, reg.columns, BOUND))
 
 
-def run_changes(pending, columns):
-    from vigilframe.plans.run import changes_of
+def document_page_lines(spark, sf):
+    return lines.page_lines(P.document_pages(spark, sf), separator="").select("doc_id", "line")
 
-    return changes_of(pending, columns, BOUND)
+
+def first_column(spark, sf):
+    row = "<tr><td>{}</td><td>1</td></tr>"
+    pages = P.line_pages(spark, sf, "<TABLE id='t' class='wide ecl-table'><tr><th>Name</th></tr>", row, row, "</TABLE>")
+    return extract.first_column(pages, ["doc_id"], table_class="ecl-table")
+
+
+def first_column_after_header(spark, sf):
+    row = "<tr><td> {} </td><td>1</td></tr>"
+    head = "<table><tbody><tr><td>x</td></tr></tbody></table><table><thead><tr><th>La liste SOURCE</th></tr></thead><tbody>"
+    pages = P.line_pages(spark, sf, head, row, row, "</tbody></table>")
+    return extract.first_column(pages, ["doc_id"], after_header="Liste source")
+
+
+def definitions(spark, sf):
+    found = extract.definitions(P.score_pages(spark, sf), ["url", "status"], {"s": "Score"})
+    return found.select("url", F.col("s.has_term").alias("has_term"), F.col("s.value").alias("value"))
+
+
+def bold_headings(spark, sf):
+    pages = P.line_pages(spark, sf, "<h1>t</h1>", "<h3>1. <b>{}</b></h3>", "<h3>{}</h3>", "")
+    return extract.bold_headings(pages, ["doc_id"])
+
+
+def paragraph_after(spark, sf):
+    pages = P.text_pages(spark, sf, "<p>a</p><h6 class='cmp-title__text'>Country</h6><div><p>", "</p></div><p>b</p>")
+    return extract.paragraph_after(pages, ["doc_id"], "h6", "Country", cls="cmp-title__text")
+
+
+def bold_items_until(spark, sf):
+    pages = P.line_pages(
+        spark, sf, "<p class='oj-x'><span class='oj-bold'>no</span></p><p id=d1e39-2-1>I</p>",
+        "<p class='oj-x'><span class='oj-bold'>{}</span></p>",
+        "<p class='oj-x'><span class='oj-bold'>State of play {}</span></p>", "",
+    )
+    return extract.bold_items(pages, ["doc_id"], "oj-x", "oj-bold", anchor_id="d1e39-2-1", stop="State of play")
+
+
+def bold_spans(spark, sf):
+    pages = P.line_pages(
+        spark, sf, "", "<p class='oj-normal'><span class='oj-bold'>{}</span></p>", "<p class='oj-normal'>{}</p>", ""
+    )
+    return extract.bold_items(pages, ["doc_id"], "oj-normal", "oj-bold")
+
+
+def list_items_after(spark, sf):
+    head = "<section class='page-section'><h2>Autres</h2><ul><li>no</li></ul><h4>Les Mesures restrictives</h4><p>:</p><ul>"
+    pages = P.line_pages(spark, sf, head, "<li>{}</li>", "<li><a href='#'>{}</a>", "</ul></section>")
+    return extract.list_items_after(pages, ["doc_id"], "page-section", "Mesures restrictives").drop("section")
+
+
+def link_titles(spark, sf):
+    block = "<div class='gem-c-document-list__item-title'><a href='#'>%s{}</a></div>"
+    pages = P.line_pages(spark, sf, "", block % "Financial sanctions, ", block % "Notice ", "")
+    return extract.link_titles(pages, ["doc_id"], "gem-c-document-list__item-title", "Financial sanctions")
+
+
+def links_after(spark, sf):
+    head = "<p><a href='no'>no</a></p><h2>1. Les listes</h2><p>"
+    pages = P.line_pages(spark, sf, head, "<a class='x' href='https://example.org/a?b=1&amp;c=2'>{}</a>", "{}", "</p>")
+    return extract.links(pages, ["doc_id"], after=("h2", "Les listes"))
+
+
+def source_cpi(spark, sf):
+    inputs = replace(P.inputs(spark, sf), pages=P.score_pages(spark, sf))
+    values = updaters.cpi_values(inputs)
+    updated = update.update_values(inputs.register, values, "id", ["cpi_score"], error="error")
+    return updated.select("id", "cpi_score")
+
+
+def _source(extract_listing):
+    return lambda spark, sf: extract_listing(P.inputs(spark, sf))
+
+
+def run_from_publications(spark, sf):
+    inputs = P.inputs(spark, sf)
+    rows = listing.union_listings(*[s.extract(inputs) for s in updaters.SOURCES])
+    masks = kind_masks(rows, updaters.SOURCES, BOUND)
+    keys = match.name_keys(inputs.register, "id", updaters.register_keys(BOUND))
+    hits = match.resolve_hits(keys, masks, "id")
+    pending = propose(inputs.register, masks, hits, None, updaters.SOURCES, BOUND)
+    return changes_of(pending, inputs.register.columns, BOUND)
 
 
 QUERIES: dict[str, Query] = {
@@ -324,5 +409,14 @@ QUERIES: dict[str, Query] = {
         page_links, list_items, latest_publication, latest_snapshot, slug_semi, match_theta,
         diff_snapshots, transitions, diff_sentinel, check_changes_null_as_no, check_changes_listed,
         dedupe_last_wins, union_listings, audit_ids, full_run,
+        document_page_lines, first_column, first_column_after_header, definitions, bold_headings,
+        paragraph_after, bold_items_until, bold_spans, list_items_after, link_titles, links_after,
+        source_cpi, run_from_publications,
+    )
+}
+QUERIES |= {
+    f"source_{name}": _source(getattr(updaters, name))
+    for name in (
+        "eu_aml", "eu_measures", "eu_tax", "fatf_call", "fatf_monitoring", "fr_measures", "fr_tax", "us_programmes", "uk"
     )
 }
