@@ -13,6 +13,7 @@ from checks import publications as P
 from vigilframe import schema as S
 from vigilframe.functions import names as N
 from vigilframe.operators import audit, extract, lines, listing, match, update
+from vigilframe.operators.lineage import landed
 from vigilframe.operators.ladder import with_levels, with_rule_no
 from vigilframe.plans import updaters
 from vigilframe.plans.run import changes_of, kind_masks, propose
@@ -390,10 +391,13 @@ def _source(extract_listing):
 
 def run_from_publications(spark, sf):
     inputs = P.inputs(spark, sf)
+    # Publications are read once, however often memberships are used further on.
+    inputs = replace(inputs, pages=landed(inputs.pages))
+    inputs = replace(inputs, issues=landed(updaters.latest_issues(inputs.pages, inputs.at)))
     rows = listing.union_listings(*[s.extract(inputs) for s in updaters.SOURCES])
-    masks = kind_masks(rows, updaters.SOURCES, BOUND)
+    masks = landed(kind_masks(rows, updaters.SOURCES, BOUND))
     keys = match.name_keys(inputs.register, "id", updaters.register_keys(BOUND))
-    hits = match.resolve_hits(keys, masks, "id")
+    hits = landed(match.resolve_hits(keys, masks, "id"))
     pending = propose(inputs.register, masks, hits, None, updaters.SOURCES, BOUND)
     return changes_of(pending, inputs.register.columns, BOUND)
 

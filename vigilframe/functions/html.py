@@ -55,14 +55,20 @@ def cells(html: Column, tag: str) -> Column:
 def first_element(html: Column, tag: str, *, cls: str | None = None) -> Column:
     """Inner HTML of the first such element, NULL when there is none."""
     pattern = rf"(?is){open_tag(tag, cls=cls)}(.*?)(?:</{tag}\s*>|$)"
-    return F.when(
-        html.rlike(rf"(?is){open_tag(tag, cls=cls)}"), F.regexp_extract(html, pattern, 1)
-    )
+    return _first_group(html, pattern)
+
+
+def _first_group(html: Column, pattern: str) -> Column:
+    """First group of a pattern's first match, NULL (not empty) when it does not match.
+
+    The argument is written once, so long chains of these stay short expressions.
+    """
+    return F.regexp_extract(F.regexp_substr(html, F.lit(pattern)), pattern, 1)
 
 
 def after(html: Column, anchor: str) -> Column:
     """Everything after the first match of an anchor pattern, NULL when it does not occur."""
-    return F.when(html.rlike(f"(?is){anchor}"), F.regexp_extract(html, rf"(?is){anchor}(.*)", 1))
+    return _first_group(html, rf"(?is){anchor}(.*)")
 
 
 def text_element(tag: str, text: str, *, cls: str | None = None, part: bool = False) -> str:
@@ -85,22 +91,27 @@ def decode_entities(text: Column) -> Column:
         F.split(F.lit(" ".join(_ENTITY_TEXT)), " "), F.split(F.lit(" ".join(_ENTITY_TEXT.values())), " ")
     )
 
-    def piece(p: Column, i: Column) -> Column:
-        ref = F.regexp_extract(p, r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[0-9a-zA-Z]{2,8});", 1)
-        rest = F.substr(p, F.length(ref) + F.lit(2))
-        hex_ref = ref.rlike("^#[xX]")
-        code = F.when(hex_ref, F.conv(F.regexp_extract(ref, "^#.(.*)$", 1), 16, 10)).when(
-            ref.startswith("#"), F.substr(ref, F.lit(2))
-        ).cast("long")
+    reference = r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[0-9a-zA-Z]{2,8});"
+    pieces = F.transform(
+        F.split(text, "&", -1),
+        lambda p, i: F.struct(
+            p.alias("text"), F.when(i > 0, F.regexp_extract(p, reference, 1)).otherwise(F.lit("")).alias("ref"), i.alias("i")
+        ),
+    )
+
+    def character(ref: Column) -> Column:
+        digits = F.when(ref.rlike("^#[xX]"), F.conv(F.substr(ref, F.lit(3)), 16, 10)).otherwise(F.substr(ref, F.lit(2)))
+        code = F.when(ref.startswith("#"), digits).cast("long")
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.when(
-            valid,
-            F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
-        ).when(ref != "", F.try_element_at(names, ref))
-        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p)))
-
-    decoded = F.array_join(F.transform(F.split(text, "&", -1), piece), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+        numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(numeric, F.try_element_at(names, ref))
+
+    def decoded(piece: Column) -> Column:
+        ref, own = piece["ref"], piece["text"]
+        char = F.when(ref != "", F.concat(character(ref), F.substr(own, F.length(ref) + F.lit(2))))
+        return F.when(piece["i"] == 0, own).otherwise(F.coalesce(char, F.concat(F.lit("&"), own)))
+
+    return F.array_join(F.transform(pieces, decoded), "")
 
 
 def inner_text(html: Column) -> Column:

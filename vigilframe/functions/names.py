@@ -12,7 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that str.strip() removes; Spark's trim() only knows U+0020.
+# Every character that str.strip() removes; Spark's trim() alone only knows U+0020.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 WHITESPACE = r"[\s\x0B\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 PARENTHESISED = WHITESPACE + r"*\([^)]*\)"
 NON_ASCII = r"[^\x00-\x7F]"
@@ -53,7 +54,7 @@ _TO = "".join(_LETTERS.values())
 
 def strip(col: Column) -> Column:
     """Remove all leading and trailing white space, tabs, newlines and no-break spaces included."""
-    return F.regexp_replace(col, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def to_ascii(col: Column) -> Column:

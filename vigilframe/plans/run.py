@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from vigilframe.operators.audit import audit_rows, changed_cells, with_sentinel
 from vigilframe.operators.ladder import OUTCOMES, level_rules, quoted, with_ladder, with_levels
+from vigilframe.operators.lineage import landed
 from vigilframe.operators.listing import mask_of
 from vigilframe.operators.match import name_keys, resolve_hits
 from vigilframe.operators.update import OLD_NO, OLD_YES, SET_NO, SET_YES, Policy, new_flag, proposed, settle
-from vigilframe.plans.updaters import SOURCES, Inputs, Source, cpi_values, register_keys
+from vigilframe.plans.updaters import SOURCES, Inputs, Source, cpi_values, latest_issues, register_keys
 from vigilframe.schema import LEVELS, LISTING_SCHEMA, RegisterLayout
 from vigilframe.sources import sinks
 
@@ -105,14 +106,6 @@ class RunResult:
     failures: dict[str, str]
 
 
-def _land(df: DataFrame | None, path: str) -> DataFrame | None:
-    """Writes an intermediate table and reads it back: lineage ends here, and nothing is redone."""
-    if df is None:
-        return None
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run(
     spark: SparkSession,
     inputs: Inputs,
@@ -140,12 +133,15 @@ def run(
 
     def attempt(name: str, make, path: str) -> DataFrame | None:
         try:
-            return _land(make(), path)
+            made = make()
+            return None if made is None else landed(made, path)
         except Exception as error:  # a broken publication must not stop the others
             log.exception("source %s failed", name)
             failures[name] = str(error)
             return None
 
+    if inputs.pages is not None and inputs.issues is None:
+        inputs = replace(inputs, issues=landed(latest_issues(inputs.pages, inputs.at), f"{work}/issues"))
     values = attempt("CPI", lambda: cpi_values(inputs), f"{work}/values")
     listings = [attempt(s.name, lambda s=s: s.extract(inputs), f"{work}/listing/{s.name}") for s in sources]
     listing = spark.createDataFrame([], LISTING_SCHEMA)
@@ -153,9 +149,9 @@ def run(
         if one is not None:
             listing = listing.unionByName(one)
 
-    masks = _land(kind_masks(listing, sources, layout), f"{work}/masks")
+    masks = landed(kind_masks(listing, sources, layout), f"{work}/masks")
     keys = name_keys(register, layout.key, register_keys(layout, fold=fold_keys))
-    hits = _land(resolve_hits(keys, masks, layout.key), f"{work}/hits")
+    hits = landed(resolve_hits(keys, masks, layout.key), f"{work}/hits")
     pending = propose(register, masks, hits, values, sources, layout)
 
     snapshot = sinks.write_register(settle(pending, layout, register.columns, policies_of(sources)), f"{out}/register", run_id)

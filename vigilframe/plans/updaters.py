@@ -19,7 +19,7 @@ from vigilframe.functions import html as H
 from vigilframe.functions import names as N
 from vigilframe.operators import extract as X
 from vigilframe.operators import lines as L
-from vigilframe.operators.listing import apply_aliases, latest_snapshot, map_names, union_listings
+from vigilframe.operators.listing import apply_aliases, map_names, union_listings
 from vigilframe.operators.match import attach_page, pattern_keys, reachable
 from vigilframe.operators.update import POLICIES, Policy
 from vigilframe.schema import REGISTER, RegisterLayout
@@ -28,9 +28,30 @@ from vigilframe.sources.tables import successful
 UNDER_WAY = "UNDER WAY"
 
 
+# Sources that publish many pages, or dated ones: the latest issue is per address, not per source.
+BY_ADDRESS = (R.FR_MEASURES, R.FATF_CALL, R.FATF_MONITORING)
+
+
+def _issue(source: Column) -> Column:
+    return F.when(source.isin(*BY_ADDRESS), F.col("url")).otherwise(F.lit(""))
+
+
+def latest_issues(pages: DataFrame, at: datetime) -> DataFrame:
+    """W-03: (source, issue, fetched_at) of the last delivery up to a time, for all sources at once.
+
+    Reads no page body.  One row per source, or per address of the sources above.
+    """
+    past = successful(pages).where(F.col("fetched_at") <= F.lit(at))
+    keyed = past.select("source", _issue(F.col("source")).alias("issue"), "fetched_at")
+    return keyed.groupBy("source", "issue").agg(F.max("fetched_at").alias("fetched_at"))
+
+
 @dataclass(frozen=True)
 class Inputs:
-    """Everything a run reads.  ``documents``: (doc_id, page_no, text); ``programmes``: (programme)."""
+    """Everything a run reads.  ``documents``: (doc_id, page_no, text); ``programmes``: (programme).
+
+    ``issues`` is the table of ``latest_issues``, worked out from ``pages`` when not given.
+    """
 
     register: DataFrame
     at: datetime
@@ -39,13 +60,26 @@ class Inputs:
     programmes: DataFrame | None = None
     layout: RegisterLayout = REGISTER
     separator: str = "\n"
+    issues: DataFrame | None = None
 
-    def latest(self, source: str, *keys: str) -> DataFrame | None:
-        """The last delivered page per source (and further keys) up to the time of the run."""
+    def delivered(self, source: str) -> DataFrame | None:
+        """All delivered pages of a source, older issues included, with their ``issue``."""
         if self.pages is None:
             return None
         own = successful(self.pages.where(F.col("source") == source))
-        return latest_snapshot(own, ["source", *keys], ["fetched_at"], F.lit(self.at))
+        return own.withColumn("issue", _issue(F.lit(source)))
+
+    def current(self, df: DataFrame, source: str) -> DataFrame:
+        """Rows of a source's latest issue.  ``df`` has ``issue`` and ``fetched_at``: pages, or
+        rather what was extracted from them, so that bodies need not move."""
+        issues = latest_issues(self.pages, self.at) if self.issues is None else self.issues
+        own = issues.where(F.col("source") == source).select("issue", "fetched_at")
+        return df.join(own, ["issue", "fetched_at"], "left_semi")
+
+    def latest(self, source: str) -> DataFrame | None:
+        """The last delivered page of a source (or per address) up to the time of the run."""
+        pages = self.delivered(source)
+        return None if pages is None else self.current(pages, source)
 
 
 @dataclass(frozen=True)
@@ -88,25 +122,23 @@ def cpi_values(inputs: Inputs) -> DataFrame | None:
         return None
     layout = inputs.layout
     own = inputs.pages.where((F.col("source") == R.CPI) & (F.col("fetched_at") <= F.lit(inputs.at)))
-    pages = latest_snapshot(own, ["source", "url"], ["fetched_at"], F.lit(inputs.at))
-    found = X.definitions(pages, ["url", "status"], {"s": "Score", "r": "Rank"})
+    found = X.definitions(own, ["url", "status", "fetched_at"], {"s": "Score", "r": "Rank"})
     no_definition = (F.col("s.has_term") & F.col("s.value").isNull()) | (F.col("r.has_term") & F.col("r.value").isNull())
     parsed = found.select(
-        "url", "status", no_definition.alias("cut"),
+        "url", "status", "fetched_at", no_definition.alias("cut"),
         N.parse_score(F.col("s.value")).alias("s"), N.parse_rank(F.col("r.value")).alias("r"),
     )
     delivered, missing = F.col("status") == 200, F.col("status") == 404
     bad = F.when(missing, False).when(delivered, F.col("cut") | F.col("s.error") | F.col("r.error")).otherwise(True)
-    values = parsed.select(
-        "url",
+    # Values are parsed before the latest page is chosen: bodies never leave their task.
+    page = F.struct(
+        "fetched_at",
+        bad.alias("error"),
         F.when(delivered, F.col("s.value")).alias("score"),
         F.when(delivered, F.col("r.value")).alias("rank"),
-        bad.alias("error"),
-    )
-    # One page per address even when it was landed twice at one time; an error wins.
-    values = values.groupBy("url").agg(
-        F.max("score").alias("score"), F.max("rank").alias("rank"), F.bool_or("error").alias("error")
     )
+    values = parsed.groupBy("url").agg(F.max(page).alias("page"))
+    values = values.select("url", "page.score", "page.rank", "page.error")
     rows = inputs.register.select(layout.key, layout.name_eng).where(F.col(layout.name_eng).isNotNull())
     slug = N.slug_cpi(N.fold_name(F.col(layout.name_eng)))
     with_page = attach_page(rows, values, slug, R.CPI_URL)
@@ -164,7 +196,7 @@ def eu_tax(inputs: Inputs) -> DataFrame | None:
 
 def _fatf_pages(inputs: Inputs, source: str, page: str) -> DataFrame | None:
     """The publication that is current at the time of the run, if it has landed."""
-    pages = inputs.latest(source, "url")
+    pages = inputs.latest(source)
     if pages is None:
         return None
     key = N.latest_publication(F.lit(inputs.at)).getField("key")
@@ -199,8 +231,8 @@ def fr_measures(inputs: Inputs) -> DataFrame | None:
     if inputs.pages is None:
         return None
     layout = inputs.layout
-    pages = inputs.latest(R.FR_MEASURES, "url")
-    index = pages.where(F.col("url") == R.FR_INDEX_URL)
+    pages = inputs.delivered(R.FR_MEASURES)
+    index = inputs.current(pages.where(F.col("url") == R.FR_INDEX_URL), R.FR_MEASURES)
     links = X.links(index, [], after=("h2", R.FR_INDEX_HEADING)).select(F.col("href").alias("link"))
 
     named = inputs.register.where(F.col(layout.name_fr).isNotNull())
@@ -210,14 +242,17 @@ def fr_measures(inputs: Inputs) -> DataFrame | None:
     slug = N.slug_fr(F.col("folded"), R.FR_SLUGS)
     asked = reachable(folded, links, slug, R.FR_URL)
 
-    entity_pages = pages.where(F.col("url") != R.FR_INDEX_URL)
+    # Pages are cut up first; their latest issues are chosen among the (address, mask) rows.
+    issue = ["issue", "fetched_at"]
+    entity_pages = pages.where(F.col("url") != R.FR_INDEX_URL).select(*issue, "body")
     has_section = F.size(H.elements(H.drop_noise(F.col("body")), "section", cls=R.FR_SECTION)) > 0
-    parsed = entity_pages.select("url", "body").where(has_section)
-    items = X.list_items_after(parsed, ["url"], R.FR_SECTION, R.FR_MEASURES_HEADING)
-    texts = items.select("url", N.to_ascii(F.col("text")).alias("text"))
+    parsed = entity_pages.where(has_section)
+    items = X.list_items_after(parsed, issue, R.FR_SECTION, R.FR_MEASURES_HEADING)
+    texts = items.select(*issue, N.to_ascii(F.col("text")).alias("text"))
     # A page without items still counts as parsed: all its flags are NO.
-    texts = texts.unionByName(parsed.select("url", F.lit("").alias("text")))
-    tagged = L.tag_measures(texts, ["url"], "text", R.FR_MEASURE_PATTERNS)
+    texts = texts.unionByName(parsed.select(*issue, F.lit("").alias("text")))
+    tagged = L.tag_measures(texts, issue, "text", R.FR_MEASURE_PATTERNS)
+    tagged = inputs.current(tagged, R.FR_MEASURES).select(F.col("issue").alias("url"), "flag", "status")
     addressed = asked.select("name", F.concat(F.lit(R.FR_URL), slug).alias("url"))
     found = addressed.join(tagged, "url")
     return found.select(F.lit(R.FR_MEASURES).alias("source"), "name", "flag", "status")
