@@ -119,9 +119,9 @@ def run(
     """P-11: all sources, one pass over the register, audit and export.
 
     Each source's listing is written first and by itself: a source that fails is reported and
-    leaves its flags as they are.  Names are then resolved to register keys once, and the new
-    snapshot and the audit rows are two passes over the old snapshot that read the same landed
-    memberships, so they agree whatever is retried.  Every table is written under the run's id
+    leaves its flags as they are.  Names are then resolved to register keys once; the new snapshot
+    and the changed cells are two passes over the old snapshot that read the same landed
+    memberships, so they agree whatever is retried, and ids are given to changed cells only.  Every table is written under the run's id
     and replaced when the run is repeated.
 
     ``out`` is shared storage.  ``inputs.register`` must be a stored snapshot other than this
@@ -156,8 +156,10 @@ def run(
 
     snapshot = sinks.write_register(settle(pending, layout, register.columns, policies_of(sources)), f"{out}/register", run_id)
     audit_path = f"{out}/audit"
-    changes = with_sentinel(changes_of(pending, register.columns, layout), layout.key)
-    audit = audit_rows(changes, layout.key, inputs.at, first_id=next_audit_id(spark, audit_path, run_id))
+    changes = landed(changes_of(pending, register.columns, layout), f"{work}/changes")
+    audit = audit_rows(
+        with_sentinel(changes, layout.key), layout.key, inputs.at, first_id=next_audit_id(spark, audit_path, run_id)
+    )
     sinks.append_audit(audit, audit_path, run_id)
     exported = None
     if export_to is not None:
