@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from vigilframe.functions.names import strip
 
 NOISE = (
-    r"(?is)<!--.*?-->|<!doctype[^>]*>|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+    r"(?is)<(?:!--.*?-->|!doctype[^>]*>|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>)"
 )
-HEADINGS = "h[1-6]"
 
 
 def drop_noise(html: Column) -> Column:
@@ -37,25 +36,43 @@ def open_tag(tag: str, *, cls: str | None = None, id: str | None = None) -> str:
     return rf"<{tag}(?=[\s>/]){wanted}[^>]*>"
 
 
+def up_to(ends: str) -> str:
+    """Group of everything before a tag (after its ``<``) that matches ``ends``, or to the end.
+
+    Possessive, so it runs in one pass without backtracking or recursion on pages of any size.
+    """
+    return rf"((?:[^<]++|<(?!{ends}))*+)"
+
+
 def elements(html: Column, tag: str, *, cls: str | None = None) -> Column:
     """Array of the inner HTML of every such element, in document order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is){open_tag(tag, cls=cls)}(.*?)</{tag}\s*>"), F.lit(1))
+    end = rf"/{tag}\s*>"
+    return F.regexp_extract_all(html, F.lit(rf"(?is){open_tag(tag, cls=cls)}{up_to(end)}<{end}"), F.lit(1))
 
 
 # Tags whose end tag may be left out, and the containers that close them.
 _CONTAINERS = {"li": "ul|ol|menu", "tr": "table|tbody|thead|tfoot", "td": "tr|table|tbody"}
 
 
+def _cell(tag: str) -> str:
+    end = rf"/(?:{tag}|{_CONTAINERS[tag]})\s*>|{tag}[\s>/]"
+    return rf"(?is){open_tag(tag)}{up_to(end)}"
+
+
 def cells(html: Column, tag: str) -> Column:
     """As ``elements`` for rows, cells and list items, whose end tag may be left out."""
-    end = rf"</(?:{tag}|{_CONTAINERS[tag]})\s*>|(?=<{tag}[\s>/])|$"
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?=[\s>/])[^>]*>(.*?)(?:{end})"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(_cell(tag)), F.lit(1))
+
+
+def first_cell(html: Column, tag: str = "td") -> Column:
+    """The first of ``cells``, empty when there is none."""
+    return F.regexp_extract(html, _cell(tag), 1)
 
 
 def first_element(html: Column, tag: str, *, cls: str | None = None) -> Column:
     """Inner HTML of the first such element, NULL when there is none."""
-    pattern = rf"(?is){open_tag(tag, cls=cls)}(.*?)(?:</{tag}\s*>|$)"
-    return _first_group(html, pattern)
+    end = rf"/{tag}\s*>"
+    return _first_group(html, rf"(?is){open_tag(tag, cls=cls)}{up_to(end)}")
 
 
 def _first_group(html: Column, pattern: str) -> Column:
@@ -114,9 +131,15 @@ def decode_entities(text: Column) -> Column:
     return F.array_join(F.transform(pieces, decoded), "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def inner_text(html: Column) -> Column:
     """Text of an HTML fragment: tags removed, references decoded, stripped."""
-    return strip(decode_entities(F.regexp_replace(html, r"(?s)<[^>]*>", "")))
+    text = F.regexp_replace(html, r"<[^>]*+>", "")
+    return strip(_once(text, lambda t: F.when(t.contains("&"), decode_entities(t)).otherwise(t)))
 
 
 def attribute_values(html: Column, tag: str, attribute: str) -> Column:

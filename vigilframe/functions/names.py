@@ -67,6 +67,8 @@ def to_ascii(col: Column) -> Column:
     text = col
     for char, ascii_text in _ONE_TO_MANY.items():
         text = F.replace(text, F.lit(char), F.lit(ascii_text))
+    # Few texts hold a character that becomes several; only those take the replacements.
+    text = F.when(col.rlike(f"[{''.join(_ONE_TO_MANY)}]"), text).otherwise(col)
     return F.when(col.rlike(NON_ASCII), F.translate(text, _FROM, _TO)).otherwise(col)
 
 

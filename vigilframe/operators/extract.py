@@ -23,9 +23,7 @@ def _clean(body: str) -> Column:
 def first_cells(rows_html: Column) -> Column:
     """Text of the first data cell of every table row that has data cells."""
     rows = F.filter(H.cells(rows_html, "tr"), lambda r: r.rlike(r"(?i)<td[\s>/]"))
-    return F.transform(
-        rows, lambda r: H.inner_text(F.regexp_extract(r, r"(?is)<td(?=[\s>/])[^>]*>(.*?)(?:</td\s*>|<td[\s>/]|$)", 1))
-    )
+    return F.transform(rows, lambda r: H.inner_text(H.first_cell(r)))
 
 
 def first_column(
