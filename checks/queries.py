@@ -300,7 +300,7 @@ def union_listings(spark, sf):
 
 
 def audit_ids(spark, sf):
-    changes = audit.transitions_of(_diff(spark, sf), "NO", "YES")
+    changes = landed(audit.transitions_of(_diff(spark, sf), "NO", "YES"))
     rows = audit.audit_rows(changes, "id", F.lit("2024-01-01").cast("timestamp"))
     return rows.select("AuditID", "SanctionsMapId", "ColumnName")
 

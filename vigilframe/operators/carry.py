@@ -59,14 +59,15 @@ def carry_forward(
 
 
 def with_dense_ids(
-    df: DataFrame, key: str, ties: Sequence[str], out: str, *, start=1, rows: int = BLOCK_ROWS, levels: int = 3
+    df: DataFrame, key: str, ties: Sequence[str], out: str, *, start=1, rows: int = BLOCK_ROWS, levels: int = 2
 ) -> DataFrame:
     """A-06: consecutive ids in the order of a long key (and ties) without a global window.
 
     Rows of a block of ``rows`` keys are numbered by themselves; the ids before a block come from
     row counts per block, which are summed level by level, ``rows`` blocks at a time.  A key must
     have a bounded number of ties (an audited entity has at most one row per column).  ``start``
-    is a number or a one-value column such as ``max(id) + 1`` of the table appended to.
+    is a number or a one-value column such as ``max(id) + 1`` of the table appended to.  ``df`` is
+    read more than once: pass a stored table.
     """
     block = "__block"
     numbered = df.withColumn(block, _block(key, rows))
@@ -83,7 +84,7 @@ def _offsets(sizes: DataFrame, block: str, n: str, out: str, *, rows: int, level
     """Per block, the number of rows in all blocks before it."""
     preceding = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     if levels == 0:
-        # At most 2**63 / rows**4 = one block is left here for 64-bit keys at the default size.
+        # With the defaults no more than 2**64 / 2**48 blocks of 64-bit keys are left here.
         one = sizes.withColumn("__all", F.lit(0)).withColumn(
             out,
             F.coalesce(F.sum(n).over(preceding.partitionBy("__all")), F.lit(0)),

@@ -49,14 +49,39 @@ POLICIES: dict[str, Policy] = {
 }
 
 
+def _flags_where(policies: Mapping[str, Policy], layout: RegisterLayout, test) -> str:
+    """SQL literal: the bits of all flags whose policy passes a test."""
+    return f"{sum(1 << layout.number(flag) for flag, policy in policies.items() if test(policy))}L"
+
+
+def active_flags(
+    policies: Mapping[str, Policy], layout: RegisterLayout, masks: DataFrame, hits: DataFrame
+) -> Column:
+    """One value, by scalar subquery: the flags that anything happens to.
+
+    That is a flag whose list is not empty; for U-4, and where a policy asks for it, one that
+    some register row was found for.
+    """
+    falling = _flags_where(policies, layout, lambda p: p.kind == U4)
+    by_list = _flags_where(policies, layout, lambda p: p.kind != U4 and not p.require_match)
+    by_both = _flags_where(policies, layout, lambda p: p.kind != U4 and p.require_match)
+    seen = masks.selectExpr("seen as listed", "0L as matched")
+    if (falling, by_both) != ("0L", "0L"):
+        seen = seen.unionByName(hits.selectExpr("0L as listed", "yes as matched"))
+    found = seen.selectExpr("coalesce(bit_or(listed), 0L) as listed", "coalesce(bit_or(matched), 0L) as matched")
+    return found.selectExpr(
+        f"(listed & {by_list}) | (listed & matched & {by_both}) | (matched & {falling})"
+    ).scalar()
+
+
 def policy_masks(
-    policies: Mapping[str, Policy], layout: RegisterLayout, *, old_yes: str, hit: str, seen: str, listed: str, matched: str
+    policies: Mapping[str, Policy], layout: RegisterLayout, *, old_yes: str, hit: str, seen: str, active: str
 ) -> tuple[str, str]:
     """SQL for the flags that a row's memberships set to YES and to NO, for all policies at once.
 
     The arguments name columns with bit masks over flag numbers, never NULL.  ``hit``: listed with
-    YES; ``seen``: listed with any status; ``listed``: the listing has a row for the flag;
-    ``matched``: some register row is hit.  A row without a name can never be listed.
+    YES; ``seen``: listed with any status; ``active``: see ``active_flags``.  A row without a name
+    can never be listed.
 
     * U-1, U-2: listed YES, others NO, unknown names as before; nothing happens to an empty list.
     * U-3: listed YES, all others NO, unknown names too.
@@ -64,33 +89,21 @@ def policy_masks(
       (An update by name cannot reach a row without a name, so such a row keeps its YES.)
     * U-5: the listing's own YES or NO, others NO, unknown names as before.
     """
-
-    def where(test) -> str:
-        return f"{sum(1 << layout.number(flag) for flag, policy in policies.items() if test(policy))}L"
-
     for policy in policies.values():
         if policy.kind not in (U1, U2, U3, U4, U5):
             raise ValueError(f"unknown policy {policy.kind}")
-    falling = where(lambda p: p.kind == U4)
-    by_list = where(lambda p: p.kind != U4 and not p.require_match)
-    by_list_and_match = where(lambda p: p.kind != U4 and p.require_match)
-    own_status = where(lambda p: p.kind == U5)
-    # Flags that anything happens to: their list is not empty and, if asked for, has matched.
-    active = f"(({listed} & {by_list}) | ({listed} & {matched} & {by_list_and_match}) | ({matched} & {falling}))"
+    falling = _flags_where(policies, layout, lambda p: p.kind == U4)
+    resetting = _flags_where(policies, layout, lambda p: p.kind != U4)
+    own_status = _flags_where(policies, layout, lambda p: p.kind == U5)
     kept = [
-        f"if({quoted(column)} is null, {where(lambda p, name=name: p.kind != U3 and p.name == name)}, 0L)"
-        for name, column in (("eng", layout.name_eng), ("fr", layout.name_fr))
+        f"if({quoted(column)} is null, {_flags_where(policies, layout, lambda p, n=n: p.kind != U3 and p.name == n)}, 0L)"
+        for n, column in (("eng", layout.name_eng), ("fr", layout.name_fr))
     ]
     unnamed = f"(({' | '.join(kept)}) & ~({seen} & {own_status}))"
-    resettable = f"({by_list} | {by_list_and_match} | ({old_yes} & {falling}))"
+    resettable = f"({resetting} | ({old_yes} & {falling}))"
     return f"{active} & {hit}", f"{active} & {resettable} & ~{unnamed} & ~{hit}"
 
 
-def _any(df: DataFrame, mask: str) -> Column:
-    """One value: the union of all masks of a table, 0 for an empty one."""
-    return df.agg(F.coalesce(F.bit_or(mask), F.lit(0).cast("long"))).scalar()
-
-
 SET_YES, SET_NO, OLD_YES, OLD_NO = "__set_yes", "__set_no", "__old_yes", "__old_no"
 
 
@@ -107,25 +120,19 @@ def proposed(
     ``yes`` and ``seen`` masks over any keys.
     """
     policies = POLICIES if policies is None else policies
-    needs_match = any(p.kind == U4 or p.require_match for p in policies.values())
     columns = [quoted(c) for c in register.columns]
     joined = register.join(hits.select(layout.key, "yes", "seen"), layout.key, "left")
-    guarded = joined.select(
-        "*",
-        _any(masks, "seen").alias("__listed"),
-        (_any(hits, "yes") if needs_match else F.lit(0).cast("long")).alias("__matched"),
-    )
+    guarded = joined.select("*", active_flags(policies, layout, masks, hits).alias("__active"))
     marked = guarded.selectExpr(
         *columns,
         f"{flag_mask(layout, 'YES')} as {OLD_YES}",
         f"{flag_mask(layout, 'NO')} as {OLD_NO}",
         "coalesce(yes, 0L) as __hit",
         "coalesce(seen, 0L) as __seen",
-        "__listed",
-        "__matched",
+        "__active",
     )
     set_yes, set_no = policy_masks(
-        policies, layout, old_yes=OLD_YES, hit="__hit", seen="__seen", listed="__listed", matched="__matched"
+        policies, layout, old_yes=OLD_YES, hit="__hit", seen="__seen", active="__active"
     )
     return marked.selectExpr(*columns, OLD_YES, OLD_NO, f"{set_yes} as {SET_YES}", f"{set_no} as {SET_NO}")
 

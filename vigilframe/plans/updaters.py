@@ -73,8 +73,10 @@ class Inputs:
         """Rows of a source's latest issue.  ``df`` has ``issue`` and ``fetched_at``: pages, or
         rather what was extracted from them, so that bodies need not move."""
         issues = latest_issues(self.pages, self.at) if self.issues is None else self.issues
-        own = issues.where(F.col("source") == source).select("issue", "fetched_at")
-        return df.join(own, ["issue", "fetched_at"], "left_semi")
+        own = issues.where(F.col("source") == source)
+        if source not in BY_ADDRESS:
+            return df.where(F.col("fetched_at") == own.agg(F.max("fetched_at")).scalar())
+        return df.join(own.select("issue", "fetched_at"), ["issue", "fetched_at"], "left_semi")
 
     def latest(self, source: str) -> DataFrame | None:
         """The last delivered page of a source (or per address) up to the time of the run."""
@@ -274,7 +276,7 @@ def us_programmes(inputs: Inputs) -> DataFrame | None:
         return None
     texts = inputs.programmes.select("programme").distinct()
     tokens = texts.select(F.explode(N.program_tokens(F.col("programme"))).alias("name"))
-    return _listing(_aliased(tokens.distinct(), R.US), R.US, S.US_PROGRAMMES)
+    return _listing(_aliased(tokens, R.US), R.US, S.US_PROGRAMMES)
 
 
 _UK_NAMES = {old: new for source, old, new in R.ALIASES if source == R.UK}
