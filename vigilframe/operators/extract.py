@@ -130,17 +130,20 @@ def list_items(pages: DataFrame, keys: Sequence[str], *, body: str = "body") ->
 
 def _lists_after(section: Column, phrase: str) -> Column:
     """Item texts of the first list after each heading of a section that contains a phrase."""
-    pieces = F.split(section, r"(?i)<h[1-6](?=[\s>])", -1)
 
-    def items(piece: Column, i: Column) -> Column:
-        # A piece starts inside a heading tag; what follows the heading may span later pieces.
-        heading = H.inner_text(F.concat(F.lit("<h"), F.regexp_extract(piece, r"(?is)^(.*?)</h[1-6]\s*>", 1)))
-        rest = F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "<h")
-        listed = H.first_element(F.regexp_extract(rest, r"(?is)^.*?</h[1-6]\s*>(.*)", 1), "ul")
-        return F.when((i > 0) & heading.contains(phrase), H.cells(listed, "li"))
+    def found(pieces: Column) -> Column:
+        def items(piece: Column, i: Column) -> Column:
+            # A piece starts inside a heading tag; what follows the heading may span later pieces.
+            opened = F.regexp_extract(piece, r"(?is)^(.*?)</h[1-6]\s*>", 1)
+            heading = H.inner_text(F.concat(F.lit("<h"), opened))
+            rest = F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "<h")
+            listed = H.first_element(F.regexp_extract(rest, r"(?is)^.*?</h[1-6]\s*>(.*)", 1), "ul")
+            return F.when((i > 0) & heading.contains(phrase), H.cells(listed, "li"))
+
+        return F.flatten(F.array_compact(F.transform(pieces, items)))
 
-    found = F.flatten(F.array_compact(F.transform(pieces, items)))
-    return F.transform(found, H.inner_text)
+    pieces = F.split(section, r"(?i)<h[1-6](?=[\s>])", -1)
+    return F.transform(H.once(pieces, found), H.inner_text)
 
 
 def list_items_after(

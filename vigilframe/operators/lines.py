@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilframe.functions.html import once
 from vigilframe.functions.names import fold_name
 from vigilframe.operators.carry import BLOCK_ROWS, carry_before, carry_forward
 
@@ -135,8 +136,12 @@ def attribute_doc_lines(
 
 def items_until(items: Column, stops: Callable[[Column], Column]) -> Column:
     """X-06 for an array: the items before the first one that stops, all when none does."""
-    stop = F.array_position(F.transform(items, lambda i: F.coalesce(stops(i), F.lit(False))), True).cast("int")
-    return F.when(stop > 0, F.slice(items, F.lit(1), stop - 1)).otherwise(items)
+
+    def cut(all_items: Column) -> Column:
+        stop = F.array_position(F.transform(all_items, lambda i: F.coalesce(stops(i), F.lit(False))), True)
+        return F.when(stop > 0, F.slice(all_items, F.lit(1), (stop - 1).cast("int"))).otherwise(all_items)
+
+    return once(items, cut)
 
 
 def take_until(items: DataFrame, keys: Sequence[str], pos: str, stops: Column) -> DataFrame:
