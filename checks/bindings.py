@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilframe.operators.listing import bit, has_bit
-from vigilframe.operators.update import apply_masks
+from vigilframe.operators.update import POLICIES, apply_masks
 from vigilframe.schema import BOUND, FLAGS
 
 T0 = ("1997-07-01", "1998-01-01")
@@ -84,8 +84,6 @@ def hits(reg: DataFrame, listed: DataFrame) -> DataFrame:
 
 def after_policies(spark: SparkSession, sf_dir: str, flags: tuple[str, ...]) -> DataFrame:
     """Register T0 with unnamed rows after listing T1: id and the given canonical flags."""
-    from vigilframe.operators.update import POLICIES
-
     reg = register(spark, sf_dir, T0, unnamed=True)
     listed = masks(spark, sf_dir, T1)
     policies = {flag: POLICIES[flag] for flag in flags}

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.functions import html as H
-from vigilframe.functions.names import strip
 from vigilframe.operators.lines import items_until
 
 
@@ -163,8 +162,3 @@ def link_titles(pages: DataFrame, keys: Sequence[str], block_class: str, contain
         H.elements(_clean(body), "div", cls=block_class), lambda d: H.inner_text(H.first_element(d, "a"))
     )
     return _unfold(pages, keys, F.filter(titles, lambda t: t.contains(contains)), "text")
-
-
-def stripped_not_empty(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose text is not blank, stripped."""
-    return df.withColumn(column, strip(F.col(column))).where(F.col(column) != "")

@@ -8,16 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders made for sessions whose cluster names none, by application.
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is named (a test session) one is made and set for the session.
+    Only where none is named (a local test session) a temporary one is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="vigilframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="vigilframe-")
+    return _own[app]
 
 
 def landed(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from vigilframe.operators.listing import mask_of
 from vigilframe.operators.match import name_keys, resolve_hits
 from vigilframe.operators.update import OLD_NO, OLD_YES, SET_NO, SET_YES, Policy, new_flag, proposed, settle
 from vigilframe.plans.updaters import SOURCES, Inputs, Source, cpi_values, latest_issues, register_keys
-from vigilframe.schema import LEVELS, LISTING_SCHEMA, RegisterLayout
+from vigilframe.schema import FLAGS, LEVELS, LISTING_SCHEMA, RegisterLayout
 from vigilframe.sources import sinks
 
 log = logging.getLogger(__name__)
@@ -65,8 +64,6 @@ def kind_masks(listing: DataFrame, sources: Sequence[Source], layout: RegisterLa
 
 
 def _canonical(layout: RegisterLayout) -> list[str]:
-    from vigilframe.schema import FLAGS
-
     return [*FLAGS, *layout.flags[len(FLAGS) :]]
 
 
