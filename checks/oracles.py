@@ -133,7 +133,7 @@ def fold(x: str) -> str:
 
 
 LINES = (
-    "select doc_id, pos - 1 as pos, lines[pos] as line from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as pos "
+    "select doc_id, cast(pos - 1 as integer) as pos, lines[pos] as line from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as pos "
     "from (select doc_id, string_split(text, chr(10)) as lines from documents))"
 )
 NAMED = "'CUSTOMER#' || lpad(cast(o_custkey as varchar), 9, '0')"
@@ -155,7 +155,7 @@ HTML_TEXT = (
 
 def unnested(table: str, key: str, array: str, value: str) -> str:
     return (
-        f"select {key}, pos - 1 as pos, items[pos] as {value} from (select {key}, items, "
+        f"select {key}, cast(pos - 1 as integer) as pos, items[pos] as {value} from (select {key}, items, "
         f"unnest(range(1, len(items) + 1)) as pos from (select {key}, {array} as items from {table}))"
     )
 
@@ -169,7 +169,7 @@ def _split_names(text: str, first: bool) -> str:
             f"list_transform(string_split(replace(upper({text}), ' AND ', ', '), ','), "
             f"lambda p: trim({trimmed.format('p')}))"
         )
-    return unnested("part", "p_partkey", array, "name").replace("select p_partkey, pos", "select p_partkey as key, pos", 1)
+    return unnested("part", "p_partkey", array, "name").replace("select p_partkey,", "select p_partkey as key,", 1)
 
 
 STRIP = "regexp_replace({0}, '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g')"
@@ -179,7 +179,7 @@ SHORT = "length(line) < 60"
 def kept(condition: str, value: str, column: str) -> str:
     """Lines that satisfy a condition, renumbered in order."""
     return (
-        f"select doc_id, row_number() over (partition by doc_id order by pos) - 1 as pos, {value} as {column} "
+        f"select doc_id, cast(row_number() over (partition by doc_id order by pos) - 1 as integer) as pos, {value} as {column} "
         f"from ({LINES}) where {condition}"
     )
 
