@@ -2,30 +2,58 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-# Folders made for sessions whose cluster names none, by application.
+# Folders made for local sessions that name none, by application.
 _own: dict[str, str] = {}
+# Tables landed without a path of their own, by application.
+_landed: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is named (a local test session) a temporary one is made.
+    A local session that names none gets a temporary folder, which goes when Python ends.  On a
+    cluster a folder of the driver's own would be invisible to executors, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on a cluster ({master})")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="vigilframe-")
+        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
     return _own[app]
 
 
+def scratch_path(spark: SparkSession, name: str = "landed") -> str:
+    """A new path in the shared folder, known to ``release``."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _landed.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path in whatever store it is; a missing path is no error."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what this application has landed without a path: to be called once results are stored."""
+    for path in _landed.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+
+
 def landed(df: DataFrame, path: str | None = None) -> DataFrame:
     """Writes a table and reads it back.
 
@@ -33,6 +61,6 @@ def landed(df: DataFrame, path: str | None = None) -> DataFrame:
     it is used, and has a known size, by which Spark decides whether to broadcast it.
     """
     spark = df.sparkSession
-    target = path or f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    target = path or scratch_path(spark)
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
