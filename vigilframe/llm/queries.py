@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilframe.llm import langid, lines, mixing, quality, sampling, tokens, toxicity
+from vigilframe.llm import langid, lines, mixing, neardup, quality, sampling, tokens, toxicity, vectors
 from vigilframe.llm.ship import ship
 from vigilframe.llm.text import remainder
 
@@ -15,6 +15,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(_read(spark, sf_dir, "documents"))
     taken = (F.col("whole") * F.col("size") + F.col("part")).cast("long")
@@ -57,7 +61,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_mixing, op3_quality, op5_language, op6_token_ids, op7_toxicity, op9_line_dedup)
+    for f in (op1_near_duplicates, op2_mixing, op3_quality, op5_language, op6_token_ids, op7_toxicity, op9_line_dedup, op10_near_vectors)
 }
