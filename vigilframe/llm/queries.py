@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilframe.llm import langid, lines, mixing, neardup, quality, sampling, tokens, toxicity, vectors
+from vigilframe.llm import decontam, langid, lines, mixing, neardup, quality, sampling, tokens, toxicity, vectors
 from vigilframe.llm.ship import ship
 from vigilframe.llm.text import remainder
 
@@ -56,6 +56,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -67,5 +71,5 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_duplicates, op2_mixing, op3_quality, op5_language, op6_token_ids, op7_toxicity, op9_line_dedup, op10_near_vectors)
+    for f in (op1_near_duplicates, op2_mixing, op3_quality, op5_language, op6_token_ids, op7_toxicity, op8_decontamination, op9_line_dedup, op10_near_vectors)
 }
