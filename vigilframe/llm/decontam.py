@@ -28,8 +28,10 @@ from vigilframe.operators.lineage import landed
 
 CHUNK = 16
 PASSAGE = 4  # chunks
-RANK, COMMON, EXTRA = 96, 40, 8
-COSINE, OVERLAP, ANSWER = 0.45, 0.7, 0.5
+RANK, COMMON, EXTRA = 72, 40, 4
+#: So many of the most frequent terms, which make up most words, are multiplied as a dense matrix.
+DENSE = 256
+COSINE, OVERLAP, ANSWER = 0.4, 0.7, 0.5
 PIECE_WORDS = 96
 ITEMS_AT_ONCE = 4000
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿–—·"
@@ -110,6 +112,45 @@ def _joined(batch: pa.RecordBatch, kind) -> tuple[np.ndarray, np.ndarray, np.nda
     return term, np.repeat(np.arange(len(held)), held), np.concatenate([[0], np.cumsum(held)]), docs
 
 
+class Product:
+    """Counts of terms by row (chunks or passages), times a matrix, or transposed times one."""
+
+    def __init__(self, term: np.ndarray, row: np.ndarray, n_rows: int, slot: np.ndarray):
+        at = slot[term]
+        often = at >= 0
+        self.dense = np.bincount(row[often] * DENSE + at[often], minlength=n_rows * DENSE).reshape(n_rows, DENSE).astype(np.float32)
+        self.term, self.row, self.n_rows, self.slot = term[~often], row[~often], n_rows, slot
+        self.starts = np.flatnonzero(np.diff(self.row, prepend=-1))
+
+    @staticmethod
+    def slots(df: np.ndarray) -> np.ndarray:
+        slot = np.full(len(df), -1, np.int64)
+        slot[np.argsort(-df, kind="stable")[:DENSE]] = np.arange(min(DENSE, len(df)))
+        return slot
+
+    def _often(self, columns: np.ndarray) -> np.ndarray:
+        table = np.zeros((DENSE, len(columns)), np.float32)
+        some = np.flatnonzero(self.slot >= 0)
+        table[self.slot[some]] = columns[:, some].T
+        return table
+
+    def times(self, columns: np.ndarray) -> np.ndarray:
+        """Rows x width, for a matrix given by its columns."""
+        out = self.dense @ self._often(columns)
+        if len(self.term):
+            at = self.row[self.starts]
+            for c in range(len(columns)):
+                out[at, c] += np.add.reduceat(columns[c][self.term], self.starts)
+        return out
+
+    def transposed(self, y: np.ndarray, total: np.ndarray) -> None:
+        """Adds the columns of terms x width to ``total``."""
+        some = np.flatnonzero(self.slot >= 0)
+        total[:, some] += (self.dense.T @ y)[self.slot[some]].T
+        for c in range(y.shape[1]):
+            total[c] += np.bincount(self.term, weights=np.ascontiguousarray(y[:, c])[self.row], minlength=total.shape[1])
+
+
 def document_frequencies(stored: DataFrame, n_terms: int, kind) -> tuple[int, np.ndarray]:
     """The number of documents, and of those that hold each term."""
 
@@ -138,7 +179,7 @@ def latent_space(stored: DataFrame, idf: np.ndarray, kind, *, rank: int, common:
     """
     n, width = len(idf), min(rank + common + extra, len(idf))
     rng_of = lambda: np.random.default_rng(seed).normal(size=(width, n)).astype(np.float32)
-    weight = idf.astype(np.float32)
+    weight, slot = idf.astype(np.float32), Product.slots(-idf)
 
     def multiply(batches):
         omega, total = rng_of() * weight, np.zeros((width, n))
@@ -155,10 +196,9 @@ def latent_space(stored: DataFrame, idf: np.ndarray, kind, *, rank: int, common:
                 fresh[1:] = (of_doc[1:] != of_doc[:-1]) | (inside[1:] % PASSAGE == 0)
                 passage = (np.cumsum(fresh) - 1)[chunk]
                 fresh = np.concatenate([[True], passage[1:] != passage[:-1]])
-                starts, row = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-                for c in range(width):
-                    y = np.add.reduceat(omega[c][term], starts)
-                    total[c] += np.bincount(term, weights=y[row], minlength=n)
+                row = np.cumsum(fresh) - 1
+                product = Product(term, row, int(row[-1]) + 1, slot)
+                product.transposed(product.times(omega), total)
         total = total.T
         some = np.flatnonzero(np.abs(total).sum(1))
         for a in range(0, len(some), 4096):
@@ -183,11 +223,9 @@ def common_subsequence(piece: np.ndarray, masks: dict[int, int], other: np.ndarr
     """Length of the longest common subsequence, bit-parallel over the piece."""
     full = (1 << len(piece)) - 1
     v = full
-    for w in other.tolist():
-        m = masks.get(w, 0)
-        if m:
-            u = v & m
-            v = ((v + u) | (v - u)) & full
+    for m in [masks[w] for w in other.tolist() if w in masks]:
+        u = v & m
+        v = ((v + u) | (v - u)) & full
     return len(piece) - bin(v).count("1")
 
 
@@ -209,20 +247,17 @@ def find(stored: DataFrame, queries: Queries, space: np.ndarray, idf: np.ndarray
 
     def search(batches):
         table, latent, reach, pieces, answers, masks = shared.value
-        columns = np.ascontiguousarray(table.T)
+        columns, slot = np.ascontiguousarray(table.T), Product.slots(-idf)
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
-                yield from one(batch.slice(a, 500), table, columns, latent, reach, pieces, answers, masks)
+                yield from one(batch.slice(a, 500), columns, slot, latent, reach, pieces, answers, masks)
 
-    def one(batch, table, columns, latent, reach, pieces, answers, masks):
+    def one(batch, columns, slot, latent, reach, pieces, answers, masks):
         term, chunk, held, docs = _joined(batch, kind)
         n = int(docs[-1])
         if not n or not len(term):
             return
-        starts = np.flatnonzero(np.diff(held))
-        vector = np.zeros((n, table.shape[1]), np.float32)
-        for c in range(table.shape[1]):
-            vector[starts, c] = np.add.reduceat(columns[c][term], held[starts])
+        vector = Product(term, chunk, n, slot).times(columns)
         of_doc = np.repeat(np.arange(batch.num_rows), np.diff(docs))
         last = docs[1:][of_doc]
         found: dict[tuple[int, int], tuple[float, float]] = {}
