@@ -28,10 +28,10 @@ from vigilframe.operators.lineage import landed
 
 CHUNK = 16
 PASSAGE = 4  # chunks
-RANK, COMMON, EXTRA = 72, 40, 4
+RANK, COMMON, EXTRA = 96, 40, 4
 #: So many of the most frequent terms, which make up most words, are multiplied as a dense matrix.
 DENSE = 256
-COSINE, OVERLAP, ANSWER = 0.4, 0.7, 0.5
+COSINE, OVERLAP, ANSWER = 0.5, 0.7, 0.5
 PIECE_WORDS = 96
 ITEMS_AT_ONCE = 4000
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿–—·"

@@ -128,6 +128,24 @@ def vocabulary_scores(model: LanguageModel, stem: pa.Array) -> np.ndarray:
     return out
 
 
+def predictions(texts: pa.Array, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    made = words(texts, lower=None)
+    stems = letters(made.vocabulary).dictionary_encode()
+    codes = stems.indices.to_numpy(zero_copy_only=False)[made.codes]
+    real = pc.utf8_length(stems.dictionary).to_numpy(zero_copy_only=False) > 0
+    n = sums(real[codes].astype(float), made.bounds)
+    names, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+    if model.langs:
+        table = vocabulary_scores(model, stems.dictionary)
+        total = np.stack([sums(table[:, i][codes], made.bounds) for i in range(len(model.langs))], axis=1)
+        tempered = total / np.sqrt(np.maximum(n, 1))[:, None]
+        odds = np.exp(tempered - tempered.max(1, keepdims=True))
+        names, score = np.array(model.langs, dtype=object)[odds.argmax(1)], odds.max(1) / odds.sum(1)
+    names[n == 0], score[n == 0] = UNKNOWN, 0.0
+    return names, score
+
+
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, lang_pred, score) for each row of ``docs``.
 
@@ -137,27 +155,24 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its vocabulary
 
     def predict(batches):
-        model = shared.value
         for batch in slices(batches, 1):
-            made = words(batch.column(1), lower=None)
-            stems = letters(made.vocabulary).dictionary_encode()
-            codes = stems.indices.to_numpy(zero_copy_only=False)[made.codes]
-            real = pc.utf8_length(stems.dictionary).to_numpy(zero_copy_only=False) > 0
-            n = sums(real[codes].astype(float), made.bounds)
-            if model.langs:
-                table = vocabulary_scores(model, stems.dictionary)
-                total = np.stack([sums(table[:, i][codes], made.bounds) for i in range(len(model.langs))], axis=1)
-                tempered = total / np.sqrt(np.maximum(n, 1))[:, None]
-                odds = np.exp(tempered - tempered.max(1, keepdims=True))
-                best, score = odds.argmax(1), odds.max(1) / odds.sum(1)
-                names = np.array(model.langs, dtype=object)[best]
-            else:
-                names, score = np.full(batch.num_rows, UNKNOWN, dtype=object), np.zeros(batch.num_rows)
-            none = n == 0
-            names[none], score[none] = UNKNOWN, 0.0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(score.astype(float))], names=["doc_id", "lang_pred", "score"]
-            )
+            names, score = predictions(batch.column(1), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all columns, that have a language and a score of ``least`` or more.
+
+    Rows stay where they are: nothing is shuffled.
+    """
+    shared, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def keep(batches):
+        for batch in slices(batches, text):
+            names, score = predictions(batch.column(text), shared.value)
+            yield batch.filter(pa.array((names != UNKNOWN) & (score >= least)))
+
+    return docs.mapInArrow(keep, docs.schema)

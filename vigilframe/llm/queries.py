@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilframe.llm import decontam, langid, lines, mixing, neardup, quality, sampling, tokens, toxicity, vectors
+from vigilframe.llm import decontam, katz, langid, lines, mixing, neardup, quality, sampling, tokens, toxicity, vectors
 from vigilframe.llm.ship import ship
 from vigilframe.llm.text import remainder
 
@@ -32,6 +32,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_read(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = _read(spark, sf_dir, "documents"), remainder("doc_id", 4) == 2
     found = langid.identify(docs, langid.train(docs, ~held))
@@ -71,5 +75,5 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_duplicates, op2_mixing, op3_quality, op5_language, op6_token_ids, op7_toxicity, op8_decontamination, op9_line_dedup, op10_near_vectors)
+    for f in (op1_near_duplicates, op2_mixing, op3_quality, op4_language_model, op5_language, op6_token_ids, op7_toxicity, op8_decontamination, op9_line_dedup, op10_near_vectors)
 }
