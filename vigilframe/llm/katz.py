@@ -19,6 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,17 +29,18 @@ from vigilframe.operators.lineage import landed
 
 LIMIT = 5
 BEGIN, END = np.uint64(0xB0B0000000000001), np.uint64(0xE0D0000000000001)
-PART_TOKENS = 4_000_000
+PART_TOKENS = 2_000_000
 HOT_TOKENS = 2_000_000
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Integers by planes of bytes, which compress well."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Integers by planes of bytes, compressed: small numbers take little."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T), 1)
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
 
 
 def _blocks(batches):
@@ -134,7 +136,7 @@ def _count_words(key, asked):
     answers = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
     real = word != BEGIN
     rows = {"block": [*asked.column("block").to_pylist(), None], "part": [key[0].as_py()] * (len(keys) + 1)}
-    rows["answer"] = [*(x.astype("<i8").tobytes() for x in answers), np.array([total[real].sum(), (total[real] > 0).sum()], "<i8").tobytes()]
+    rows["answer"] = [*map(_pack, answers), _pack(np.array([total[real].sum(), (total[real] > 0).sum()]))]
     return pa.table({"block": pa.array(rows["block"], pa.int64()), "part": pa.array(rows["part"], pa.int32()), "answer": pa.array(rows["answer"], pa.binary())})
 
 
@@ -172,7 +174,7 @@ def _count_pairs(key, asked):
         # Only histories with a pair never seen in training need their sums.
         lacks = np.add.reduceat((mine == 0).astype(np.int64), np.cumsum(r) - r) > 0
         left = by[np.searchsorted(histories, k[lacks])].astype("<i8")
-        out.append((0, block, _pack(mine), np.ascontiguousarray(left.T).tobytes(), None, None))
+        out.append((0, block, _pack(mine), _pack(left.T.ravel()), None, None))
     for h in {x for y in asked.column("hot").to_pylist() for x in y or []}:
         at = np.searchsorted(histories, np.array([h]).view(np.uint64)[0])
         out.append((1, None, None, None, h, by[at].tolist()))
@@ -202,7 +204,7 @@ def _word_counts(own: Block, answers: pa.Table, parts: int) -> np.ndarray:
     order, _, _ = own.word_question(parts)
     by = sorted(zip(answers.column("part").to_pylist(), answers.column("answer").to_pylist(), strict=True))
     counts = np.empty(own.n, np.int64)
-    counts[order] = np.concatenate([np.frombuffer(x, "<i8") for _, x in by])
+    counts[order] = np.concatenate([_unpack(x) for _, x in by])
     return counts
 
 
@@ -233,7 +235,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
 
     slim = blocks.select("block", "held", "counts", "codes", "hashes")
     word_answers = landed(slim.mapInArrow(ask_words, ASK).groupBy("part").applyInArrow(_count_words, "block long, part int, answer binary"))
-    total, vocabulary = np.sum([np.frombuffer(r.answer, "<i8") for r in word_answers.where("block IS NULL").select("answer").toLocalIterator()] or [[0, 0]], axis=0)
+    total, vocabulary = np.sum([_unpack(r.answer) for r in word_answers.where("block IS NULL").select("answer").toLocalIterator()] or [[0, 0]], axis=0)
     total, vocabulary = int(total), int(vocabulary)
     to_blocks = word_answers.where("block IS NOT NULL")
 
@@ -283,7 +285,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         history, word, part, _, place, _ = own.pair_question(counts, parts)
         mine = sorted(zip(of(0).column("part").to_pylist(), of(0).column("answer").to_pylist(), of(0).column("left").to_pylist(), strict=True))
         seen = np.concatenate([_unpack(x) for _, x, _ in mine])
-        by = np.concatenate([np.frombuffer(x, "<i8").reshape(N_SUMS, -1) for _, _, x in mine], axis=1).T.astype(float)
+        by = np.concatenate([_unpack(x).reshape(N_SUMS, -1) for _, _, x in mine], axis=1).T.astype(float)
         # Sums come for each history with an unseen pair, in order of part and history.
         starts = np.flatnonzero(np.concatenate([[True], (history[1:] != history[:-1]) | (part[1:] != part[:-1])]))
         lacks = np.add.reduceat((seen == 0).astype(np.int64), starts) > 0
