@@ -97,3 +97,13 @@ def test_french_measures(spark, text, flags):
     out = L.tag_measures(df, ["id"], "t", R.FR_MEASURE_PATTERNS).collect()
     assert len(out) == 8
     assert {S.FLAG_NO[r["flag"]] for r in out if r["status"] == "YES"} == flags
+
+
+def test_entities_of_any_length_open_blocks(spark):
+    from vigilframe.operators.lines import entity_measures
+
+    long_name = "A" * 300
+    lines = spark.createDataFrame([(1, 0, long_name), (1, 1, "asset freeze"), (1, 2, "nothing")], "doc_id long, pos long, line string")
+    entities = spark.createDataFrame([(long_name,)], "name string")
+    found = entity_measures(lines, entities, [("ASSET FREEZE", "F1"), ("EMBARGO", "F2")])
+    assert sorted((r.name, r.flag, r.status) for r in found.collect()) == [(long_name, "F1", "YES"), (long_name, "F2", "NO")]

@@ -93,7 +93,7 @@ def inputs(spark, root, **changes):
         register=T.read_register(spark, f"{root}/register"),
         at=AT,
         pages=T.read_pages(spark, f"{root}/pages"),
-        documents=T.regimes(T.read_documents(spark, f"{root}/docs")),
+        documents=T.regimes(T.read_documents(spark, f"{root}/docs"), 1, 70),
         programmes=T.read_program_csv(spark, f"{root}/sdn"),
         separator="",
     )
@@ -236,3 +236,16 @@ def test_streaming_refresh(spark, tmp_path):
     moves = {(r["SanctionsMapId"], r["NewValue"], r["UpdatedAt"].month) for r in log.where(F.col("ColumnName") == S.EU_AML).collect()}
     assert moves == {(9, "YES", 6), (9, "NO", 7), (7, "YES", 7)}
     assert sorted(r["AuditID"] for r in log.collect()) == list(range(1, log.count() + 1))
+
+
+def test_programme_csv_with_doubled_quotes_and_line_breaks(spark, tmp_path):
+    row = ",".join(["x"] * 10)
+    lines = [",".join(f"h{i}" for i in range(12)), f'{row},"He said ""x"", y",burma', f'{row},"two\nlines",cuba']
+    (tmp_path / "p.csv").write_text("\n".join(lines), encoding="utf8")
+    read = T.read_program_csv(spark, str(tmp_path), multi_line=True)
+    assert sorted(r.programme for r in read.collect()) == ["BURMA", "CUBA"]
+
+
+def test_regimes_takes_the_bounds_given(spark):
+    docs = spark.createDataFrame([(1, "a"), (71, "b")], "doc_id long, text string")
+    assert [r.doc_id for r in T.regimes(docs, 70, 80).collect()] == [71]

@@ -41,6 +41,12 @@ def scratch_path(spark: SparkSession, name: str = "landed") -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any store; other errors rise."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a path in whatever store it is; a missing path is no error."""
     jvm = spark.sparkContext._jvm

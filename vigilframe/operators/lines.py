@@ -157,28 +157,22 @@ def take_until(items: DataFrame, keys: Sequence[str], pos: str, stops: Column) -
 
 def entity_lines(
     lines: DataFrame, entities: DataFrame, measures: Measures, flags: Mapping[str, int], doc: str = "doc_id",
-    raw_aliases: Mapping[str, str] | None = None, longest_name: int = 255,
+    raw_aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Lines that matter to attribution: (doc, pos, entity, mask).
 
     A line that equals an entity opens a block; any other line counts only if a measure occurs in
     it.  All other lines are dropped here, and the text with them, before anything is sorted:
     carrying an entity over a line that says nothing has no effect.  ``entities(name)`` holds
-    folded names, none longer than ``longest_name`` (the register's column width).
+    folded names of any length.
     """
     folded = lines.select(doc, "pos", fold_name(F.col("line"), raw_aliases).alias("line"))
     tagged = folded.select(doc, "pos", "line", measure_mask(F.col("line"), measures, flags).alias("mask"))
-    short = F.length("line") <= longest_name
     names = entities.select(F.col("name").alias("entity")).distinct()
-    openable = tagged.where(short & (F.col("line") != ""))
-    joined = openable.join(names, F.col("line") == F.col("entity"), "left")
-    marked = joined.where(F.col("entity").isNotNull() | (F.col("mask") != 0)).select(
+    joined = tagged.where(F.col("line") != "").join(names, F.col("line") == F.col("entity"), "left")
+    return joined.where(F.col("entity").isNotNull() | (F.col("mask") != 0)).select(
         doc, "pos", "entity", F.when(F.col("entity").isNull(), F.col("mask")).otherwise(F.lit(0).cast("long")).alias("mask")
     )
-    wordy = tagged.where(~short & (F.col("mask") != 0)).select(
-        doc, "pos", F.lit(None).cast("string").alias("entity"), "mask"
-    )
-    return marked.unionByName(wordy)
 
 
 def entity_measures(

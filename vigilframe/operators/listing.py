@@ -104,9 +104,11 @@ def names_per_flag(listing: DataFrame) -> DataFrame:
     """A-05: every distinct name under a flag, with the number of names under that flag.
 
     One row per name instead of one list per flag: a list would have to fit one row of one task.
+    Counts are one row per flag, and flags are columns of the register (64 at most): they are
+    broadcast, so that names aren't shuffled by a few hot flags.
     """
     names = listing.select("flag", "name").distinct()
-    counts = listing_counts(names)
+    counts = F.broadcast(listing_counts(names))
     return names.join(counts, "flag").select("flag", "n_names", "name")
 
 

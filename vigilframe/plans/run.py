@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vigilframe.operators.audit import audit_rows, changed_cells, with_sentinel
 from vigilframe.operators.ladder import OUTCOMES, level_rules, quoted, with_ladder, with_levels
-from vigilframe.operators.lineage import landed
+from vigilframe.operators.lineage import exists, landed
 from vigilframe.operators.listing import mask_of
 from vigilframe.operators.match import name_keys, resolve_hits
 from vigilframe.operators.update import OLD_NO, OLD_YES, SET_NO, SET_YES, Policy, new_flag, proposed, settle
@@ -169,9 +169,8 @@ def run(
 
 def next_audit_id(spark: SparkSession, path: str, run_id: str) -> Column:
     """One past the greatest id of other runs, as a scalar subquery; 1 for a new log."""
-    try:
-        logged = spark.read.parquet(path)
-    except Exception:  # no log yet
+    if not exists(spark, path):
         return F.lit(1)
+    logged = spark.read.parquet(path)
     others = logged.where(F.col("run_id").cast("string") != run_id)
     return others.agg(F.coalesce(F.max("AuditID"), F.lit(0)) + 1).scalar()

@@ -50,7 +50,8 @@ def export_table(df: DataFrame, name: str, folder: str, at: datetime) -> str:
     """S-09, S-10: a table as CSV with header rows in a folder named after table and time.
 
     One file per partition, each with the header; the table is not squeezed into one task.
+    A repeated run replaces its own export.
     """
     target = export_path(name, folder, at)
-    df.write.mode("errorifexists").option("header", True).csv(target)
+    df.write.mode("overwrite").option("header", True).csv(target)
     return target

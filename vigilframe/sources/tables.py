@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilframe.reference_data import EU_REGIMES, US_PROGRAMME_COLUMN
+from vigilframe.reference_data import US_PROGRAMME_COLUMN
 from vigilframe.functions.names import strip
 from vigilframe.schema import COLUMN_ALIASES, PAGE_SCHEMA, REGISTER_SCHEMA
 
@@ -59,16 +59,19 @@ def read_documents(spark: SparkSession, path: str, *, format: str = "parquet") -
     return spark.read.schema("doc_id long, page_no long, text string").format(format).load(path)
 
 
-def regimes(docs: DataFrame, first: int = EU_REGIMES[0], last: int = EU_REGIMES[1], doc: str = "doc_id") -> DataFrame:
+def regimes(docs: DataFrame, first: int, last: int, doc: str = "doc_id") -> DataFrame:
     """S-06: documents in a range of ids; ids without a document are simply absent."""
     return docs.where(F.col(doc).between(first, last))
 
 
-def read_program_csv(spark: SparkSession, path: str, *, column: int = US_PROGRAMME_COLUMN) -> DataFrame:
+def read_program_csv(
+    spark: SparkSession, path: str, *, column: int = US_PROGRAMME_COLUMN, multi_line: bool = False
+) -> DataFrame:
     """S-07: (programme) texts of one column of headered CSV files, upper case, blanks dropped.
 
     The schema is explicit and one column wider than needed, so that short rows read as NULL
-    (and are dropped) whatever the first row looks like.
+    (and are dropped) whatever the first row looks like.  Quotes inside quoted fields are doubled.
+    ``multi_line`` reads fields with line breaks, at the price of one task per file.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(column + 2)])
     rows = (
@@ -77,6 +80,8 @@ def read_program_csv(spark: SparkSession, path: str, *, column: int = US_PROGRAM
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", True)
         .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
     text = F.upper(strip(F.col(f"c{column}")))
