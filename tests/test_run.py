@@ -238,6 +238,31 @@ def test_streaming_refresh(spark, tmp_path):
     assert sorted(r["AuditID"] for r in log.collect()) == list(range(1, log.count() + 1))
 
 
+def test_scores_that_land_one_page_a_batch_are_kept(spark, tmp_path):
+    root = str(tmp_path)
+    register(spark).write.parquet(f"{root}/start")
+    body = "<dl><dt>Score</dt><dd>{}/100</dd><dt>Rank</dt><dd>{}/180</dd></dl>"
+    for batch, (slug, score, rank) in enumerate([("norway", 84, 5), ("mali", 28, 136)]):
+        one = [page(R.CPI, R.CPI_URL + slug, body.format(score, rank))]
+        spark.createDataFrame(one, PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        query = refresh(spark, f"{root}/in", f"{root}/out", f"{root}/start", f"{root}/checkpoint", sources=())
+        query.awaitTermination()
+        assert query.exception() is None
+    new = spark.read.parquet(sinks.snapshot_path(f"{root}/out/register", batch_run_id(batch)))
+    values = {r[REGISTER.key]: (r["CPI_SCORE"], r["CPI_RANK"]) for r in new.collect()}
+    assert values[11] == (84, 5) and values[9] == (28, 136)
+
+
+def test_measures_of_accented_entities(spark, tmp_path):
+    old = register(spark).withColumn(REGISTER.name_eng, F.when(F.col(REGISTER.key) == 5, "CÔTE D’IVOIRE").otherwise(F.col(REGISTER.name_eng)))
+    old.write.parquet(f"{tmp_path}/old")
+    docs = spark.createDataFrame([(1, 1, "Côte d'Ivoire\ninvestments")], "doc_id long, page_no long, text string")
+    own = Inputs(register=spark.read.parquet(f"{tmp_path}/old"), at=AT, documents=docs)
+    result = run(spark, own, f"{tmp_path}/out", "r", sources=[s for s in SOURCES if s.name == R.EU_MEASURES])
+    assert result.failures == {}
+    assert listed(spark.read.parquet(result.register), S.EU_MEASURE_FLAGS[1]) == {5}
+
+
 def test_programme_csv_with_doubled_quotes_and_line_breaks(spark, tmp_path):
     row = ",".join(["x"] * 10)
     lines = [",".join(f"h{i}" for i in range(12)), f'{row},"He said ""x"", y",burma', f'{row},"two\nlines",cuba']

@@ -302,11 +302,12 @@ def register_keys(layout: RegisterLayout, *, fold: bool = False) -> list[tuple[s
     """Per kind of key, the forms of a register row's name that listed names are compared with.
 
     ``eng`` and ``fr``: the stored name with ASCII apostrophes (or fully folded, on request);
-    ``fr_raw``: as stored; ``uk``: folded and mapped, or the special listed name it matches.
+    ``eng_folded``: always folded, as the names of regime documents are; ``fr_raw``: as stored;
+    ``uk``: folded and mapped, or the special listed name it matches.
     """
     eng, fr = F.col(layout.name_eng), F.col(layout.name_fr)
     norm = N.fold_name if fold else N.quote_norm
-    keys = [("eng", norm(eng)), ("fr", norm(fr)), ("fr_raw", fr)]
+    keys = [("eng", norm(eng)), ("eng_folded", N.fold_name(eng, R.RAW_ALIASES)), ("fr", norm(fr)), ("fr_raw", fr)]
     return [*keys, *[("uk", c) for c in pattern_keys(uk_name(N.fold_name(eng)), R.UK_PATTERNS)]]
 
 
@@ -316,7 +317,7 @@ def _policies(*flags: str) -> dict[str, Policy]:
 
 SOURCES: tuple[Source, ...] = (
     Source(R.EU_AML, eu_aml, "eng", _policies(S.EU_AML)),
-    Source(R.EU_MEASURES, eu_measures, "eng", _policies(*S.EU_MEASURE_FLAGS)),
+    Source(R.EU_MEASURES, eu_measures, "eng_folded", _policies(*S.EU_MEASURE_FLAGS)),
     Source(R.EU_TAX, eu_tax, "eng", _policies(S.EU_TAX), trigger=S.EU_TAX),
     Source(R.FATF_CALL, fatf_call, "eng", _policies(S.FATF_CALL)),
     Source(R.FATF_MONITORING, fatf_monitoring, "eng", _policies(S.FATF_MONITORING)),

@@ -38,19 +38,22 @@ def refresh(
     Scheduling is the caller's: each call handles what is new (``availableNow``).  A batch turns
     the snapshot of the batch before (``register`` for the first) into its own; all its tables
     carry the batch's id and are replaced when a failed batch is repeated, so each publication
-    takes effect once.  Sources without news keep their flags.  The time of a run is that of its
-    youngest page, so a repeated batch writes the same audit rows.
+    takes effect once.  The stream is the trigger only: a run sees the pages of its own and of all
+    earlier batches, so that sources of many pages (scores, one page per entity) may land bit by
+    bit.  The time of a run is that of the youngest page so far, so a repeated batch writes the
+    same audit rows.
     """
     stream = spark.readStream.schema(PAGE_SCHEMA).format(format).load(landing)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         own = batch_run_id(batch_id)
         previous = register if batch_id == 0 else snapshot_path(f"{out}/register", batch_run_id(batch_id - 1))
-        pages = landed(batch, f"{out}/work/run_id={own}/pages")
+        session = batch.sparkSession
+        landed(batch, f"{out}/pages/run_id={own}")
+        pages = session.read.parquet(f"{out}/pages").where(F.col("run_id") <= own).drop("run_id")
         at = pages.agg(F.max("fetched_at")).first()[0]
         if at is None:
             at = spark.range(1).select(F.timestamp_seconds(F.lit(0))).first()[0]
-        session = batch.sparkSession
         inputs = Inputs(
             register=session.read.parquet(previous),
             at=at,
