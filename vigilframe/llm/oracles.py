@@ -3,6 +3,31 @@
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _code_rounds(rounds: int) -> str:
+    """Assignments and codebooks of each round, unrolled."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""
+near{k} as materialized (
+  select r, p, min(struct_pack(d := d, e := e)) as best
+  from (select a.r, a.p, b.e, list_sum(list_transform(range(1, len(a.u) + 1), lambda i: (a.u[i] - b.u[i]) * (a.u[i] - b.u[i])))::bigint as d
+        from parts a join book{k} b using (p))
+  group by r, p)""")
+        if k < rounds:
+            out.append(f"""
+sums{k} as (
+  select p, e, c, sum(x)::bigint as s, count(*)::bigint as n
+  from (select a.p, n.best.e as e, unnest(a.u) as x, generate_subscripts(a.u, 1) as c from parts a join near{k} n using (r, p))
+  group by p, e, c),
+book{k + 1} as materialized (
+  select p, e, coalesce(m.u, b.u) as u
+  from book{k} b left join (
+    select p, e, list((s - ((s % n) + n) % n) // n order by c) as u from sums{k} group by p, e) m using (p, e))""")
+    return ",".join(out)
+
+
 ORACLES = {
     "op2_mixing": r"""
 with sized as (
@@ -52,5 +77,23 @@ judged as (
 select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from judged group by doc_id
+""",
+    "op11_vector_codes": f"""
+with kept as materialized (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select r, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] as u from kept, (select unnest(range(8)) as p)),
+book0 as materialized (
+  select p, e, u from parts join (select r, row_number() over (order by vec_id) - 1 as e from kept order by vec_id limit 16) using (r)),
+{_code_rounds(6)},
+coded as (
+  select r, string_agg(printf('%02x', best.e), '' order by p) as code, sum(best.d)::bigint as error from near6 group by r),
+labels as (select label, sum(error)::bigint as label_error from coded join kept using (r) group by label),
+books as (
+  select sha256(string_agg(array_to_string(u, ','), ',' order by p, e)) as codebooks_sha256 from book6)
+select vec_id, code, error, label_error, codebooks_sha256
+from kept join coded using (r) join labels on kept.label is not distinct from labels.label, books
 """,
 }

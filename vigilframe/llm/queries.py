@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilframe.llm import decontam, katz, langid, lines, mixing, neardup, quality, sampling, tokens, toxicity, vectors
+from vigilframe.llm import codes, decontam, katz, langid, lines, mixing, neardup, packing, quality, sampling, tokens, toxicity, vectors
 from vigilframe.llm.ship import ship
 from vigilframe.llm.text import remainder
 
@@ -73,7 +73,22 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codes.compressed(_read(spark, sf_dir, "embeddings"))
+    code = F.lower(F.hex("codes")).alias("code")
+    return rows.select(F.col("id").alias("vec_id"), code, "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.placed(packing.cut(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json"))))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_near_duplicates, op2_mixing, op3_quality, op4_language_model, op5_language, op6_token_ids, op7_toxicity, op8_decontamination, op9_line_dedup, op10_near_vectors)
+    for f in (
+        op1_near_duplicates, op2_mixing, op3_quality, op4_language_model, op5_language, op6_token_ids, op7_toxicity, op8_decontamination, op9_line_dedup,
+        op10_near_vectors, op11_vector_codes, op13_packing,
+    )
 }
