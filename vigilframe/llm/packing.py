@@ -31,8 +31,8 @@ from vigilframe.operators.lineage import landed
 
 SIZE = 2048
 END_ID = 0
-#: Words whose ids a worker keeps (some 250 bytes each).
-CACHED_WORDS = 400_000
+#: What a worker's cache of encoded words may hold.
+CACHED_WORDS, CACHED_CHARS = 400_000, 16 << 20
 
 
 # --- encoding ---
@@ -56,6 +56,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
+        self._chars = 0
         self._ids: list[int] = []
         self._ends = [0]
 
@@ -69,12 +70,13 @@ class WordEncoder:
 
             self._made = Tokenizer.from_file(self.path)
             self._forget()
-        if len(self._known) > CACHED_WORDS:
+        if len(self._known) > CACHED_WORDS or self._chars > CACHED_CHARS:
             self._forget()
         new = [w for w in vocabulary if w not in self._known]
         for a in range(0, len(new), 4096):
             for word, made in zip(new[a : a + 4096], self._made.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)):
                 self._known[word] = len(self._ends) - 1
+                self._chars += len(word)
                 self._ids += made.ids
                 self._ends.append(len(self._ids))
         return [self._known[w] for w in vocabulary]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilframe.llm import codes, decontam, katz, langid, lines, mixing, neardup, packing, quality, sampling, tokens, toxicity, vectors
+from vigilframe.llm import alignment, codes, decontam, katz, langid, lines, mixing, neardup, packing, quality, sampling, tokens, toxicity, vectors
 from vigilframe.llm.ship import ship
 from vigilframe.llm.text import remainder
 
@@ -79,6 +79,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("vec_id"), code, "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_read(spark, sf_dir, "documents"), a, b).documents()
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -89,6 +96,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_mixing, op3_quality, op4_language_model, op5_language, op6_token_ids, op7_toxicity, op8_decontamination, op9_line_dedup,
-        op10_near_vectors, op11_vector_codes, op13_packing,
+        op10_near_vectors, op11_vector_codes, op12_alignment, op13_packing,
     )
 }
