@@ -72,4 +72,4 @@ def test_vectors(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))

@@ -122,7 +122,7 @@ def integers(rows: DataFrame, id_col: str, vector_col: str, label_col: str, scal
         scaled = c.cast("double") * scale
         return F.when(F.abs(scaled) <= LARGEST, F.floor(scaled).cast("int")).otherwise(F.raise_error("a vector component is too large").cast("int"))
 
-    kept = rows.where(x.isNotNull() & F.coalesce(fine, F.lit(False)))
+    kept = rows.where(x.isNotNull() & (F.size(x) > 0) & F.coalesce(fine, F.lit(False)))
     return kept.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.transform(x, whole).alias("v"))
 
 
@@ -202,7 +202,7 @@ def decoded(codes: DataFrame, books: Codebooks, *, scale: int = SCALE) -> DataFr
 def compressed(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", scale: int = SCALE, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> tuple[DataFrame, Codebooks]:
     """(id, label, codes, error, label_error) of each row that has a usable vector, and the codebooks.
 
-    Rows whose vector is null or holds null or non-finite components are left out, and so are
+    Rows whose vector is null, empty or holds null or non-finite components are left out, and so are
     vectors of another length than that of the least id; a length that the parts don't divide is
     filled up with zeros.  Components beyond ``LARGEST / scale`` raise an error.  Rows with a null or
     repeated id are rows of their own.  ``label_error`` is the error of all rows of the label,
