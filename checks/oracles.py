@@ -365,6 +365,12 @@ ORACLES: dict[str, str] = {
     "list_items_after": f"select doc_id, pos, {STRIP.format('line')} as text from ({LINES})",
     "link_titles": kept(f"not ({SHORT})", STRIP.format("'Financial sanctions, ' || line"), "text"),
     "links_after": kept(f"not ({SHORT})", "'https://example.org/a?b=1&c=2'", "href"),
+    "first_column_nested": (
+        f"select doc_id, 2 * pos as pos, {STRIP.format("line || 'in'")} as name from ({LINES}) "
+        f"union all select doc_id, 2 * pos + 1, 'in' from ({LINES})"
+    ),
+    "link_titles_nested": kept(f"not ({SHORT})", STRIP.format("'Financial sanctions, ' || line"), "text"),
+    "links_after_coded": f"select doc_id, pos from ({kept(f'not ({SHORT})', 'line', 'line')})",
     "source_cpi": (
         "select r.id, case when name_eng = 'CUBA' or status is null or status = 404 then null "
         "when status = 500 or c_custkey % 13 = 0 then cpi_score "

@@ -378,6 +378,27 @@ def links_after(spark, sf):
     return extract.links(pages, ["doc_id"], after=("h2", "Les listes"))
 
 
+def first_column_nested(spark, sf):
+    """Every cell holds a table of its own, whose rows are rows too."""
+    row = "<tr><td>{}<table><tr><td>in</td></tr></table></td><td>1</td></tr>"
+    head = "<table><tr><td>no</td></tr></table><table class='ecl-table'>"
+    pages = P.line_pages(spark, sf, head, row, row, "</table><table class='ecl-table'><tr><td>no</td></tr></table>")
+    return extract.first_column(pages, ["doc_id"], table_class="ecl-table")
+
+
+def link_titles_nested(spark, sf):
+    block = "<div class='block'><div class='icon'><div>x</div></div><p><a href='#'>%s{}</a></p></div>"
+    pages = P.line_pages(spark, sf, "<div class='all'>", block % "Financial sanctions, ", block % "Notice ", "</div>")
+    return extract.link_titles(pages, ["doc_id"], "block", "Financial sanctions")
+
+
+def links_after_coded(spark, sf):
+    """The anchor is written with references and with tags inside; one that only looks like it comes first."""
+    head = "<h2>1. Les regimes</h2><p><a href='no'>no</a></p><h2>1. L<i>es</i> r&eacute;gimes en&nbsp;vigueur</h2><p>"
+    pages = P.line_pages(spark, sf, head, "<a href='/{}'>x</a>", "{}", "</p>")
+    return extract.links(pages, ["doc_id"], after=("h2", "les régimes")).select("doc_id", "pos")
+
+
 def source_cpi(spark, sf):
     inputs = replace(P.inputs(spark, sf), pages=P.score_pages(spark, sf))
     values = updaters.cpi_values(inputs)
@@ -415,6 +436,7 @@ QUERIES: dict[str, Query] = {
         dedupe_last_wins, union_listings, audit_ids, full_run,
         document_page_lines, first_column, first_column_after_header, definitions, bold_headings,
         paragraph_after, bold_items_until, bold_spans, list_items_after, link_titles, links_after,
+        first_column_nested, link_titles_nested, links_after_coded,
         source_cpi, run_from_publications,
     )
 }

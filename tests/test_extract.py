@@ -74,3 +74,38 @@ def test_link_titles(spark, rows):
 def test_entities(spark):
     df = spark.createDataFrame([("&amp;lt; &unknown; &#0; &#xD800; &apos; a&b & &eacute",)], "x string")
     assert df.select(H.decode_entities(F.col("x"))).first()[0] == "&lt; &unknown; &#0; &#xD800; ' a&b & &eacute"
+
+
+def test_nested_tables(spark, rows):
+    body = (
+        "<table class=x><tr><td>no</td></tr></table><TABLE class='ecl-table'><tr><th>h</th></tr>"
+        "<tr><td>Outer <table><tr><td>Inner</td><td>2</td></tr></table></td><td>3</td></tr>"
+        "<tr><td>Last</td></tr></TABLE><table class='ecl-table'><tr><td>other</td></tr></table>"
+    )
+    out = X.first_column(pages(spark, body), ["id"], table_class="ecl-table")
+    assert rows(out) == [(0, 0, "Outer Inner2"), (0, 1, "Inner"), (0, 2, "Last")]
+    header = "<table><tr><th>Pays</th><th><b>Liste</b> source</th></tr><tbody><tr><td>A<table><tbody><tr><td>B</td></tr></tbody></table></td></tr><tr><td>C</td></tr></tbody></table>"
+    assert rows(X.first_column(pages(spark, header), ["id"], after_header="liste source")) == [(0, 0, "AB"), (0, 1, "B"), (0, 2, "C")]
+
+
+def test_nested_blocks_lists_and_sections(spark, rows):
+    block = "<div class='t'><div class='icon'><div/>x</div><a href='#'>Financial sanctions, {}</a></div>"
+    out = X.link_titles(pages(spark, "<div>" + block.format("Iran") + block.format("Mali") + "</div></div>"), ["id"], "t", "Financial")
+    assert rows(out) == [(0, 0, "Financial sanctions, Iran"), (0, 1, "Financial sanctions, Mali")]
+    section = "<section class='s'><section><h2>x</h2></section><h3>Mesures</h3><ul><li>a<ul><li>b</li></ul></li><li>c</li></ul></section>"
+    out = X.list_items_after(pages(spark, section), ["id"], "s", "Mesures")
+    assert rows(out) == [(0, 0, 0, "ab"), (0, 0, 1, "b"), (0, 0, 2, "c")]
+
+
+def test_unclosed_and_stray_tags(spark):
+    df = pages(spark, "</div><div class='a'>1<div class='b'>2</div>3", "<div class='a'>x<div class='a'>y</div>z</div>w", None, "")
+    found = df.select("id", H.elements(F.col("body"), "div", cls="a").alias("x")).orderBy("id").collect()
+    assert [r.x for r in found] == [["1<div class='b'>2</div>3"], ["x<div class='a'>y</div>z", "y"], None, []]
+
+
+def test_anchors_are_compared_as_read(spark, rows):
+    bodies = [f"<h2>Autres</h2><p><a href='/no'>x</a></p><h2 class=t>1. Les {x} en vigueur</h2><p><a href='/a'>x</a></p>" for x in ("r&eacute;gimes", "r<b>é</b>gimes", "R&#201;GIMES", "regimes")]
+    out = X.links(pages(spark, *bodies), ["id"], after=("h2", "les régimes"))
+    assert rows(out) == [(0, 0, "/a"), (1, 0, "/a"), (2, 0, "/a")]
+    text = pages(spark, "<h6 class='c'>Pays&nbsp;</h6><p>no</p><h6 class='c d'>Pa<i>ys</i></h6 ><p>Laos</p>")
+    assert rows(X.paragraph_after(text, ["id"], "h6", "Pays", cls="c")) == [(0, "Laos")]

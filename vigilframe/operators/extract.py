@@ -40,7 +40,7 @@ def first_column(
     """
     clean = _clean(body)
     if after_header is not None:
-        rest = H.after(clean, H.text_element("th", after_header, part=True))
+        rest = H.after_element(clean, "th", after_header, part=True)
         table = H.first_element(rest, "tbody")
     else:
         table = H.first_element(clean, "table", cls=table_class)
@@ -53,7 +53,7 @@ def definition(html: Column, label: str) -> Column:
     ``has_term``: the term occurs; ``value``: text of the first definition after it, NULL when
     there is none.
     """
-    rest = H.after(html, H.text_element("dt", label))
+    rest = H.after_element(html, "dt", label)
     return F.struct(
         rest.isNotNull().alias("has_term"), H.inner_text(H.first_element(rest, "dd")).alias("value")
     )
@@ -75,7 +75,7 @@ def paragraph_after(
     pages: DataFrame, keys: Sequence[str], tag: str, text: str, *, cls: str | None = None, body: str = "body"
 ) -> DataFrame:
     """X-05: text of the first paragraph after the first heading with exactly this text."""
-    rest = H.after(_clean(body), H.text_element(tag, text, cls=cls))
+    rest = H.after_element(_clean(body), tag, text, cls=cls)
     found = pages.select(*keys, H.inner_text(H.first_element(rest, "p")).alias("text"))
     return found.where(F.col("text").isNotNull())
 
@@ -117,7 +117,7 @@ def links(pages: DataFrame, keys: Sequence[str], *, after: tuple[str, str] | Non
     html = _clean(body)
     if after is not None:
         tag, text = after
-        html = H.first_element(H.after(html, H.text_element(tag, text, part=True)), "p")
+        html = H.first_element(H.after_element(html, tag, text, part=True), "p")
     return _unfold(pages, keys, H.attribute_values(html, "a", "href"), "href")
 
 
