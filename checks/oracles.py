@@ -371,6 +371,20 @@ ORACLES: dict[str, str] = {
     ),
     "link_titles_nested": kept(f"not ({SHORT})", STRIP.format("'Financial sanctions, ' || line"), "text"),
     "links_after_coded": f"select doc_id, pos from ({kept(f'not ({SHORT})', 'line', 'line')})",
+    "page_state": f"""
+with orders_in as (
+  select o_custkey, o_orderkey % {N} as f, timestamp '1998-03-01' as landed from orders, range(2)
+  where o_orderdate >= timestamp '{T0[0]}' and o_orderdate < timestamp '{T0[1]}'
+  union all
+  select o_custkey, o_orderkey % {N}, timestamp '1998-04-01' from orders
+  where o_orderdate >= timestamp '{T1[0]}' and o_orderdate < timestamp '{T1[1]}'),
+pages as (
+  select source, '' as url, landed from orders_in
+  join (values (11, 'EU_AML'), (13, 'FATF_CALL'), (14, 'FATF_MONITORING'), (15, 'EU_TAX'), (16, 'FR_TAX'), (17, 'UK')) s(f, source) using (f)
+  union all select 'FR_MEASURES', unnest(['index', o_custkey::varchar]), landed from orders_in where f < 8),
+current as (select * from pages qualify landed = max(landed) over (partition by source, url))
+select source, count(*) as n_pages, count(distinct url) as n_urls, max(landed) as latest from current group by source
+""",
     "source_cpi": (
         "select r.id, case when name_eng = 'CUBA' or status is null or status = 404 then null "
         "when status = 500 or c_custkey % 13 = 0 then cpi_score "

@@ -13,11 +13,12 @@ from checks import publications as P
 from vigilframe import schema as S
 from vigilframe.functions import names as N
 from vigilframe.operators import audit, extract, lines, listing, match, update
-from vigilframe.operators.lineage import landed
+from vigilframe.operators.lineage import landed, scratch_path
 from vigilframe.operators.ladder import with_levels, with_rule_no
 from vigilframe.plans import updaters
 from vigilframe.plans.run import changes_of, kind_masks, propose
 from vigilframe.schema import BOUND, LEVELS
+from vigilframe.streaming.state import PageState
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -399,6 +400,19 @@ def links_after_coded(spark, sf):
     return extract.links(pages, ["doc_id"], after=("h2", "les régimes")).select("doc_id", "pos")
 
 
+def page_state(spark, sf):
+    """State after three batches of pages: an older issue, a newer one, and the older one again, too late."""
+    state = PageState(spark, scratch_path(spark, "state"), buckets=16)
+    before = None
+    for version, (window, at) in {"a": (B.T0, P.BEFORE), "b": (B.T1, P.AT), "c": (B.T0, P.BEFORE)}.items():
+        state.merge(landed(P.pages(spark, sf, window, at)), version, before)
+        before = version
+    current = state.read(before)
+    return current.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.countDistinct("url").alias("n_urls"), F.max("fetched_at").alias("latest")
+    )
+
+
 def source_cpi(spark, sf):
     inputs = replace(P.inputs(spark, sf), pages=P.score_pages(spark, sf))
     values = updaters.cpi_values(inputs)
@@ -436,7 +450,7 @@ QUERIES: dict[str, Query] = {
         dedupe_last_wins, union_listings, audit_ids, full_run,
         document_page_lines, first_column, first_column_after_header, definitions, bold_headings,
         paragraph_after, bold_items_until, bold_spans, list_items_after, link_titles, links_after,
-        first_column_nested, link_titles_nested, links_after_coded,
+        page_state, first_column_nested, link_titles_nested, links_after_coded,
         source_cpi, run_from_publications,
     )
 }

@@ -14,7 +14,8 @@ from vigilframe.plans.updaters import SOURCES, Inputs, register_source
 from vigilframe.schema import FLAGS, PAGE_SCHEMA, REGISTER, REGISTER_SCHEMA
 from vigilframe.sources import sinks
 from vigilframe.sources import tables as T
-from vigilframe.streaming.refresh import batch_run_id, refresh
+from vigilframe.streaming.refresh import apply_batch, batch_run_id, refresh
+from vigilframe.streaming.state import PageState
 
 AT = datetime(2024, 6, 15, 9, 30, 5)
 
@@ -274,3 +275,52 @@ def test_programme_csv_with_doubled_quotes_and_line_breaks(spark, tmp_path):
 def test_regimes_takes_the_bounds_given(spark):
     docs = spark.createDataFrame([(1, "a"), (71, "b")], "doc_id long, text string")
     assert [r.doc_id for r in T.regimes(docs, 70, 80).collect()] == [71]
+
+
+def test_batches_with_state_equal_one_run(spark, tmp_path):
+    """A repeated batch changes nothing; what batches build up equals one run over all pages."""
+    root, late = str(tmp_path), datetime(2024, 6, 20)
+    register(spark).write.parquet(f"{root}/start")
+    table = "<table class='ecl-table'><tr><td>{}</td></tr></table>"
+    score = "<dl><dt>Score</dt><dd>{}/100</dd><dt>Rank</dt><dd>{}/180</dd></dl>"
+    batches = [
+        [page(R.EU_AML, "aml", table.format("Mali"), at=AT), page(R.CPI, R.CPI_URL + "norway", score.format(84, 5), at=AT)],
+        [page(R.EU_AML, "aml", table.format("Syria"), at=datetime(2024, 6, 1)), (R.CPI, R.CPI_URL + "mali", 404, late, None)],
+    ]
+    sources = [s for s in SOURCES if s.name == R.EU_AML]
+    results = []
+    for n in (0, 1, 1):
+        df = spark.createDataFrame(batches[n], PAGE_SCHEMA)
+        result = apply_batch(df, n, f"{root}/out", f"{root}/start", sources=sources, buckets=8)
+        assert result.failures == {}
+        results.append([sorted(map(repr, spark.read.parquet(p).collect())) for p in (result.register, f"{root}/out/state/pages", f"{root}/out/audit")])
+    assert results[1] == results[2]
+    everything = spark.createDataFrame(sum(batches, []), PAGE_SCHEMA)
+    whole = run(spark, Inputs(register=spark.read.parquet(f"{root}/start"), at=late, pages=everything), f"{root}/whole", "r", sources=sources)
+    assert results[2][0] == sorted(map(repr, spark.read.parquet(whole.register).collect()))
+
+
+def test_page_state_keeps_current_pages_and_untouched_buckets(spark, tmp_path):
+    early, late = datetime(2024, 6, 1), datetime(2024, 6, 20)
+    batches = [
+        [page(R.EU_AML, "aml", "1", at=AT), page(R.CPI, "n", "2", at=early), page(R.FATF_CALL, "call", "3", at=AT)],
+        [page(R.EU_AML, "other", "old", at=early), (R.EU_AML, "aml", 500, late, "failed"), page(R.CPI, "m", "4", at=AT)],
+        [],
+        [page(R.CPI, "n", "5", at=AT), (R.CPI, "m", 404, late, None), page(R.FATF_CALL, "call", "late", at=early)],
+    ]
+    state = PageState(spark, str(tmp_path), 64)
+    versions = [f"v{n}" for n in range(4)]
+    times = []
+    for n, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, PAGE_SCHEMA)
+        times.append(state.merge(df, versions[n], versions[n - 1] if n else None))
+    assert times == [AT, late, late, late]
+    kept = sorted((r.source, r.url, r.status, r.body or "") for r in state.read("v3").collect())
+    assert kept == sorted([(R.EU_AML, "aml", 200, "1"), (R.CPI, "n", 200, "5"), (R.CPI, "m", 404, ""), (R.FATF_CALL, "call", 200, "3")])
+    # Older versions stay as they were.
+    assert sorted(r.body for r in state.read("v0").collect()) == ["1", "2", "3"]
+    writers = [state.manifest(v)[0] for v in versions]
+    assert writers[1] == writers[2] and {b for b, v in writers[3].items() if v == "v3"} < set(writers[3])
+    assert "v2" in state.vacuum("v3", versions[:3]) and state.read("v3").count() == 4
+    assert PageState(spark, f"{tmp_path}/empty").merge(spark.createDataFrame([], PAGE_SCHEMA), "v", None) is None
+    assert PageState(spark, f"{tmp_path}/empty").read("v").count() == 0
