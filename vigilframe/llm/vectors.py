@@ -2,15 +2,19 @@
 
 A bounded sample trains coarse centres and, for residuals to them, a codebook for each group of
 components.  Every vector is indexed: in the list of its nearest centre, as one code per group
-and the length of what the codes leave out.  A vector probes each list that can hold a link: if
-its own centre is c, vectors of list d lie beyond the plane halfway between c and d, so d is
-probed exactly if that plane is within the linking distance.  In a list, distances come from
-tables of the query's distances to the codes; since a vector is at most its leftover away from
-its code, those whose table distance is above the linking distance plus leftover are safely
-skipped, and the others compared exactly.  So no link is lost to the index.
-
-Lists are cut into blocks, and a task sees one block of queries and one of a list.  It counts
-links, and hands on only edges that keep the linked together: no pairs of a group are listed.
+and the length of what the codes leave out.  A vector probes its own list and all lists whose
+centre is nearly as near.  How nearly is measured when the index is fitted: vectors of the sample
+are moved to exactly the linking distance in random directions, and the margin is the largest by
+which the list of the moved vector then lay behind; a vector between many centres probes many
+lists, one close to its centre few.  Both vectors of a pair probe, so a link between them is lost
+only if neither finds the other.  In a list, distances come from tables of the query's distances
+to the codes; since a vector is at most its leftover away from its code, those whose table
+distance is above the linking distance plus leftover are safely skipped, and the others compared
+exactly.
+
+Neighbouring lists make a cell, to which a query is sent once with the lists it probes there.  A
+task sees one block of queries and one block of a cell.  It counts links, and hands on only edges
+that keep the linked together: no pairs of a group are listed.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from vigilframe.operators.lineage import landed
 
 THRESHOLD = 0.95
 BLOCK = 1024
+#: Vectors of a cell and queries for it that a task sees.
+CELL, QUERIES = 4096, 16384
 #: What rounding can add to a distance.
 SLACK = 1e-5
 
@@ -35,6 +41,7 @@ SLACK = 1e-5
 class Index:
     centres: np.ndarray  # lists x components
     codebooks: np.ndarray  # groups x codes x components of a group
+    margin: float  # lists whose score lies at most so far behind are probed
 
     def lists(self, x: np.ndarray) -> np.ndarray:
         return (x @ self.centres.T - 0.5 * (self.centres**2).sum(1)).argmax(1)
@@ -52,12 +59,24 @@ class Index:
             rest += ((part - book[codes[:, g]]) ** 2).sum(1)
         return codes, np.sqrt(rest)
 
-    def probes(self, x: np.ndarray, own: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(query, list) of all lists within reach."""
+    def probes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, list) of all lists to look into."""
+        return np.nonzero(self._behind(x) <= self.margin)
+
+    def _behind(self, x: np.ndarray) -> np.ndarray:
         score = x @ self.centres.T - 0.5 * (self.centres**2).sum(1)
-        behind = score[np.arange(len(x)), own][:, None] - score
-        apart = np.sqrt(np.maximum(((self.centres[own][:, None] - self.centres[None]) ** 2).sum(2), 0))
-        return np.nonzero(behind <= (reach + SLACK) * apart + SLACK)
+        return score.max(1, keepdims=True) - score
+
+
+def _margin(index: Index, x: np.ndarray, threshold: float, rng) -> float:
+    """How far behind the list of a vector at the linking distance can lie, by the sample."""
+    if x.shape[1] < 2:
+        return float("inf")
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    away /= np.sqrt((away**2).sum(1, keepdims=True))
+    moved = threshold * x + np.sqrt(1 - threshold**2) * away
+    return float(index._behind(x)[np.arange(len(x)), index.lists(moved)].max()) + SLACK
 
 
 def _means(x: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
@@ -72,7 +91,7 @@ def _means(x: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
     return centres
 
 
-def train(x: np.ndarray, lists: int, groups: int, codes: int = 256, seed: int = 1) -> Index:
+def train(x: np.ndarray, lists: int, groups: int, threshold: float = THRESHOLD, codes: int = 256, seed: int = 1) -> Index:
     rng = np.random.default_rng(seed)
     groups = next(g for g in range(min(groups, x.shape[1]), 0, -1) if x.shape[1] % g == 0)
     centres = _means(x, lists, 8, rng)
@@ -80,7 +99,10 @@ def train(x: np.ndarray, lists: int, groups: int, codes: int = 256, seed: int =
     width = x.shape[1] // groups
     books = [_means(left[:, g * width : (g + 1) * width], codes, 8, rng) for g in range(groups)]
     size = max(map(len, books))
-    return Index(centres, np.stack([np.concatenate([b, np.repeat(b[:1], size - len(b), axis=0)]) for b in books]))
+    index = Index(centres, np.stack([np.concatenate([b, np.repeat(b[:1], size - len(b), axis=0)]) for b in books]), 0.0)
+    # Several directions for each vector of a small sample.
+    index.margin = max(_margin(index, x, threshold, rng) for _ in range(max(1, min(20, 20_000 // len(x)))))
+    return index
 
 
 def _forest(hits: np.ndarray) -> np.ndarray:
@@ -145,92 +167,110 @@ def _matrix(column: pa.Array | pa.ChunkedArray, n: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(n, -1)
 
 
-def _one_width(units: DataFrame, *, threshold: float, lists: int | None, groups: int, sample: int, block: int):
+def _one_width(units: DataFrame, *, threshold: float, lists: int | None, groups: int, sample: int):
     """(id, n_links) and (a, b) edges among distinct vectors of one length.  ``units`` has (id, copies, v)."""
     spark = units.sparkSession
     n = units.count()
-    lists = lists or int(max(1, min(4096, round(2 * n**0.5))))
+    lists = lists or int(max(1, min(4096, round(n**0.5))))
     u = F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     seen = units.where(u * n < sample).select("id", "v").limit(2 * sample).toPandas().sort_values("id")
     if len(seen) == 0:
         seen = units.select("id", "v").limit(1).toPandas()
-    index = train(np.stack(seen["v"]), lists, groups)
-    shared = spark.sparkContext.broadcast((index.centres, index.codebooks))  # at most 4096 centres and 256 codes a group
-    reach = (2 - 2 * threshold) ** 0.5
+    index = train(np.stack(seen["v"]), lists, groups, threshold)
+    # Neighbouring lists make a cell.
+    cells = _means(index.centres, max(1, n // CELL), 8, np.random.default_rng(2))
+    cell_of = (index.centres @ cells.T - 0.5 * (cells**2).sum(1)).argmax(1)
+    # At most 4096 centres, 256 codes a group and a number a list.
+    shared = spark.sparkContext.broadcast((index.centres, index.codebooks, index.margin, cell_of))
 
     def assign(batches):
-        index = Index(*shared.value)
+        *made, cell = shared.value
+        index = Index(*made)
         for batch in batches:
             if batch.num_rows:
                 x = _matrix(batch.column(2), batch.num_rows)
                 own = index.lists(x)
                 codes, rest = index.encode(x, own)
                 code = pa.array([c.tobytes() for c in codes], pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32)), code, pa.array(rest)], names=["id", "copies", "v", "list", "code", "rest"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(cell[own].astype(np.int32)), pa.array(own.astype(np.int32)), code, pa.array(rest)],
+                    names=["id", "copies", "v", "cell", "list", "code", "rest"],
+                )
 
-    indexed = landed(units.mapInArrow(assign, "id long, copies long, v array<double>, list int, code binary, rest double"))
-    sizes = landed(indexed.groupBy("list").agg(F.count(F.lit(1)).alias("n")))
-    # Blocks of a list: dealt by hash, as many as its size asks for.
-    cut = F.pmod(F.xxhash64(F.lit(23), "id"), F.ceil(F.col("n") / F.lit(block)).cast("long")).cast("int")
-    blocked = landed(indexed.join(sizes, "list").withColumn("part", cut).drop("n"))
+    indexed = landed(units.mapInArrow(assign, "id long, copies long, v array<double>, cell int, list int, code binary, rest double"))
 
     def probe(batches):
-        index = Index(*shared.value)
+        *made, cell = shared.value
+        index = Index(*made)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                some = batch.slice(a, 256)
-                x = _matrix(some.column(1), some.num_rows)
-                who, where = index.probes(x, some.column(2).to_numpy(), reach)
-                taken = some.take(pa.array(who))
-                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(where.astype(np.int32))], names=["id", "v", "list"])
-
-    asked = blocked.select("id", "v", "list").mapInArrow(probe, "id long, v array<double>, list int")
-    # Queries of a list come in groups of some blocks, as many as there are queries for it.
-    asked = landed(asked)
-    per_list = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(8 * block)).cast("int").alias("q_groups"))
-    parts = sizes.select("list", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("parts"))
-    shape = landed(per_list.join(parts, "list"))
-    asked = asked.join(shape, "list").withColumn("q_group", F.pmod(F.xxhash64(F.lit(29), "id"), F.col("q_groups").cast("long")).cast("int"))
-    asked = asked.select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "q_group", "id", "v")
-    stored = blocked.join(shape.select("list", "q_groups"), "list")
-    stored = stored.select("list", "part", F.explode(F.sequence(F.lit(0), F.col("q_groups") - 1)).alias("q_group"), "id", "copies", "v", "code", "rest")
+            for a in range(0, batch.num_rows, 1024):
+                some = batch.slice(a, 1024)
+                who, where = index.probes(_matrix(some.column(1), some.num_rows))
+                order = np.lexsort((where, cell[where], who))
+                who, where = who[order], where[order].astype("<i4")
+                first = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (cell[where][1:] != cell[where][:-1])]))
+                last = np.append(first[1:], len(who))
+                taken = some.take(pa.array(who[first]))
+                lists_ = pa.array([where[x:y].tobytes() for x, y in zip(first, last, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(cell[where[first]].astype(np.int32)), lists_], names=["id", "v", "cell", "lists"])
+
+    asked = landed(indexed.select("id", "v").mapInArrow(probe, "id long, v array<double>, cell int, lists binary"))
+    # Cells and their queries are cut into as many blocks as they ask for; every block of the one meets every block of the other.
+    parts = indexed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).cast("int").alias("parts"))
+    q_groups = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES)).cast("int").alias("q_groups"))
+    shape = landed(parts.join(q_groups, "cell"))
+    dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n).cast("long")).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = asked.join(shape, "cell").withColumn("q_group", dealt(29, "q_groups")).select("cell", all_of("parts").alias("part"), "q_group", "id", "v", "lists")
+    stored = indexed.join(shape, "cell").withColumn("part", dealt(23, "parts"))
+    stored = stored.select("cell", "part", all_of("q_groups").alias("q_group"), "id", "copies", "v", "list", "code", "rest")
 
     def link(key, queries, members):
-        index = Index(*shared.value)
+        *made, _ = shared.value
+        index = Index(*made)
         if not queries.num_rows or not members.num_rows:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        probed = [np.frombuffer(x, "<i4") for x in queries.column("lists").to_pylist()]
+        who, where = np.repeat(np.arange(len(probed)), [len(x) for x in probed]), np.concatenate(probed)
+        order = np.argsort(where, kind="stable")
+        who, where = who[order], where[order]
+        members = members.sort_by("list")
+        own = members.column("list").to_numpy()
         q_id, b_id = queries.column("id").to_numpy(), members.column("id").to_numpy()
-        b = _matrix(members.column("v"), members.num_rows)
+        q, b = _matrix(queries.column("v"), queries.num_rows), _matrix(members.column("v"), members.num_rows)
         codes = np.frombuffer(b"".join(members.column("code").to_pylist()), np.uint8).reshape(len(b), -1)
         rest, copies = members.column("rest").to_numpy(), members.column("copies").to_numpy()
-        q_all = _matrix(queries.column("v"), queries.num_rows)
         out = []
-        for s in range(0, len(q_all), BLOCK):
-            hits = compare(q_all[s : s + BLOCK], b, key[0].as_py(), codes, rest, index, threshold)
-            ids = q_id[s : s + BLOCK]
-            hits &= ids[:, None] != b_id[None]
-            links = hits @ copies
-            some = np.flatnonzero(links)
-            out.append((ids[some], np.full(len(some), -1), links[some]))
-            if len(some):
-                e = _forest(hits)
-                out.append((ids[e[:, 0]], b_id[e[:, 1]], np.zeros(len(e), np.int64)))
+        for number in np.unique(own):
+            mine = slice(*np.searchsorted(own, [number, number + 1]))
+            asking = who[slice(*np.searchsorted(where, [number, number + 1]))]
+            for s in range(0, len(asking), BLOCK):
+                some = asking[s : s + BLOCK]
+                hits = compare(q[some], b[mine], number, codes[mine], rest[mine], index, threshold)
+                ids = q_id[some]
+                hits &= ids[:, None] != b_id[mine][None]
+                links = hits @ copies[mine]
+                found = np.flatnonzero(links)
+                if len(found):
+                    out.append((ids[found], np.full(len(found), -1), links[found]))
+                    e = _forest(hits)
+                    out.append((ids[e[:, 0]], b_id[mine][e[:, 1]], np.zeros(len(e), np.int64)))
         a, b_, n_ = (np.concatenate(x) if out else np.empty(0, np.int64) for x in (zip(*out, strict=True) if out else ([], [], [])))
         edge = b_ != -1
         return pa.table({"a": pa.array(a), "b": pa.array(np.where(edge, b_, 0), mask=~edge), "links": pa.array(n_.astype(np.int64))})
 
-    by = ("list", "part", "q_group")
+    by = ("cell", "part", "q_group")
     return landed(asked.groupBy(*by).cogroup(stored.groupBy(*by)).applyInArrow(link, "a long, b long, links long"))
 
 
-def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, lists: int | None = None, groups: int = 16, sample: int = 20_000, block: int = BLOCK) -> DataFrame:
+def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, lists: int | None = None, groups: int = 16, sample: int = 20_000) -> DataFrame:
     """(id, n_links, component_id, kept) for each row: links are other rows of cosine ``threshold`` or more.
 
     Equal vectors are searched for once and linked with each other.  Vectors that are null, empty,
     zero or hold a null or non-finite component link with nothing; so do rows with a null id, whose
     component is null.  Vectors of different lengths never link.  A repeated id counts as separate
     rows in n_links, and is one node of its component.  The index is fitted on about ``sample``
-    vectors; every vector is indexed and is a query.
+    vectors; every vector is indexed and is a query.  -1 can't be an id.
     """
     units = landed(unit_vectors(rows, id_col, vector_col))
     # Equal directions up to rounding in the last places needn't be caught here: they link below.
@@ -239,7 +279,7 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
     made = None
     for w in widths:
         some = landed(classes.where(F.size("v") == w).select("id", "copies", "v"))
-        one = _one_width(some, threshold=threshold, lists=lists, groups=groups, sample=sample, block=block)
+        one = _one_width(some, threshold=threshold, lists=lists, groups=groups, sample=sample)
         made = one if made is None else made.unionByName(one)
     ids = rows.select(F.col(id_col).alias("__id"))
     if made is None:
