@@ -2,7 +2,9 @@
 
 A known word counts with its log frequency in each language.  A word that was never learned is
 judged by its longest n-grams that were; if none of that length was, by shorter ones, down to
-single characters.  The counts come from a bounded sample of documents of each language.
+single characters.  Words and n-grams are known by their full 64-bit hashes: one that was never
+seen is never taken for another.  The counts come from a bounded sample of documents of each
+language; they are added up in Spark, with a column for each language.
 """
 
 from __future__ import annotations
@@ -17,19 +19,27 @@ from pyspark.sql import functions as F
 
 from vigilframe.llm.sampling import sample_near
 from vigilframe.llm.text import codepoints, grams, hashed, slices, sums, words
+from vigilframe.operators.lineage import landed
 
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
-GRAM_BUCKETS = 1 << 16
+#: Kind of the rows that count words; n-grams have their length.
+WORD = 0
 
 
 @dataclass
 class LanguageModel:
+    """Per kind (``WORD`` or a length of n-grams): sorted hashes of what is known, and its scores by language."""
+
     langs: list[str]
-    keys: np.ndarray  # sorted hashes of known words
-    word_scores: np.ndarray  # len(keys) x languages
-    gram_scores: dict[int, np.ndarray]  # by order: GRAM_BUCKETS x languages
-    gram_known: dict[int, np.ndarray]
+    keys: dict[int, np.ndarray]
+    scores: dict[int, np.ndarray]
+
+    def find(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key stands, and whether it is known."""
+        own = self.keys[kind]
+        at = np.minimum(np.searchsorted(own, keys), max(0, len(own) - 1))
+        return at, own[at] == keys if len(own) else np.zeros(len(keys), bool)
 
 
 def letters(vocabulary: pa.Array) -> pa.Array:
@@ -47,16 +57,19 @@ def _counts(batches):
         stem = stems.dictionary
         real = pc.utf8_length(stem).to_numpy(zero_copy_only=False) > 0
         chars, bounds = codepoints(stem)
-        keys, pieces = hashed(stem), {n: grams(chars, bounds, n) for n in ORDERS}
+        keys, pieces = hashed(stem), {}
+        for order in ORDERS:
+            h, owner = grams(chars, bounds, order)
+            pieces[order] = (*np.unique(h, return_inverse=True), owner)
         place = np.array([sorted(set(langs)).index(x) for x in langs])
         for i, lang in enumerate(sorted(set(langs))):
             n = np.bincount(codes[place[doc] == i], minlength=len(stem)) * real
             some = np.flatnonzero(n)
-            yield _rows(lang, 0, keys[some].view(np.int64), n[some])
-            for order, (h, owner) in pieces.items():
-                by = np.bincount((h % np.uint64(GRAM_BUCKETS)).astype(np.int64), weights=n[owner], minlength=GRAM_BUCKETS)
+            yield _rows(lang, WORD, keys[some].view(np.int64), n[some])
+            for order, (distinct, at, owner) in pieces.items():
+                by = np.bincount(at, weights=n[owner], minlength=len(distinct))
                 some = np.flatnonzero(by)
-                yield _rows(lang, order, some, by[some].astype(np.int64))
+                yield _rows(lang, order, distinct[some].view(np.int64), by[some].astype(np.int64))
 
 
 def _rows(lang, kind, keys, n) -> pa.RecordBatch:
@@ -65,50 +78,41 @@ def _rows(lang, kind, keys, n) -> pa.RecordBatch:
     )
 
 
-def train(docs: DataFrame, keep: Column, *, per_lang: int = 2000, vocabulary: int = 100_000, least: int = 3) -> LanguageModel:
+def train(docs: DataFrame, keep: Column, *, per_lang: int = 2000, least: int = 3) -> LanguageModel:
     """Learns from about ``per_lang`` documents of each language that ``keep`` admits.
 
-    The model has at most ``vocabulary`` words in all, each seen ``least`` times or more, and a
-    fixed number of n-gram buckets: a bounded size for any corpus.  Rows without a language or
-    without a doc_id aren't learned from.  Without any row it knows no language.
+    Words and n-grams are known from ``least`` occurrences in the sample on; all of them are kept,
+    so the size of the model is bounded by that of the sample.  Rows without a language or without
+    a doc_id aren't learned from.  Without any row it knows no language.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & keep).select("doc_id", "lang")
     chosen = sample_near(rows.distinct(), per_lang, by="lang").select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
     same = (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang"))
     sample = docs.select("doc_id", "lang", "text").join(chosen, same).select("lang", "text")
-    counted = sample.mapInArrow(_counts, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    often = counted.where("kind = 0").groupBy("key").agg(F.sum("n").alias("all")).where(F.col("all") >= least).orderBy(F.desc("all"), "key").limit(vocabulary)
-    known = counted.where("kind = 0").join(often.select("key"), "key", "left_semi").select("lang", "kind", "key", "n")
-    totals = counted.where("kind = 0").groupBy("lang").agg(F.lit(-1).alias("kind"), F.lit(0).cast("long").alias("key"), F.sum("n").alias("n"))
-    table = known.unionByName(counted.where("kind > 0")).unionByName(totals).toPandas()
-    langs = sorted(table["lang"].unique())
-    at = {x: i for i, x in enumerate(langs)}
-    column = table["lang"].map(at).to_numpy(int)
-    kind, key, n = table["kind"].to_numpy(), table["key"].to_numpy(np.int64), table["n"].to_numpy(float)
-    total = np.ones(len(langs))
-    total[column[kind == -1]] = n[kind == -1]
-    is_word = kind == 0
-    keys, inverse = np.unique(key[is_word].view(np.uint64), return_inverse=True)
-    counts = np.zeros((len(keys), len(langs)))
-    counts[inverse, column[is_word]] = n[is_word]
-    scores = np.log((counts + 0.05) / (total + 0.05 * (len(keys) + 1)))
-    gram_scores, gram_known = {}, {}
-    for order in ORDERS:
-        rows_ = kind == order
-        by = np.zeros((GRAM_BUCKETS, len(langs)))
-        by[key[rows_], column[rows_]] = n[rows_]
-        gram_known[order] = by.sum(1) > 0
-        gram_scores[order] = np.log((by + 0.05) / (by.sum(0) + 0.05 * GRAM_BUCKETS)).astype(np.float32)
-    return LanguageModel(langs, keys, scores.astype(np.float32), gram_scores, gram_known)
+    # Texts are cut once; what follows reads their counts.
+    counted = landed(sample.mapInArrow(_counts, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")))
+    totals = {(r.lang, r.kind): r.n for r in counted.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}  # a few rows a language
+    langs = sorted({lang for lang, _ in totals})
+    columns = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)]
+    keys, scores = {}, {}
+    for kind in (WORD, *ORDERS):
+        own, counts = np.empty(0, np.uint64), np.empty((0, len(langs)))
+        if langs:
+            by = counted.where(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("all"), *columns).where(F.col("all") >= least).drop("all").toArrow()
+            own = by.column("key").to_numpy().view(np.uint64)
+            counts = np.stack([by.column(f"n{i}").to_numpy() for i in range(len(langs))], axis=1).astype(float)
+        order = np.argsort(own)
+        total = np.array([totals.get((x, kind), 0) for x in langs], float)
+        keys[kind] = own[order]
+        scores[kind] = np.log((counts[order] + 0.05) / (total + 0.05 * (len(own) + 1))).astype(np.float32)
+    return LanguageModel(langs, keys, scores)
 
 
 def vocabulary_scores(model: LanguageModel, stem: pa.Array) -> np.ndarray:
-    """Scores of each word for each language; words without letters have 0."""
+    """Scores of each word for each language; words without letters, and of unknown letters alone, have 0."""
     out = np.zeros((len(stem), len(model.langs)))
-    keys = hashed(stem)
-    at = np.minimum(np.searchsorted(model.keys, keys), max(0, len(model.keys) - 1))
-    known = model.keys[at] == keys if len(model.keys) else np.zeros(len(keys), bool)
-    out[known] = model.word_scores[at[known]]
+    at, known = model.find(WORD, hashed(stem))
+    out[known] = model.scores[WORD][at[known]]
     empty = pc.utf8_length(stem).to_numpy(zero_copy_only=False) == 0
     out[empty] = 0
     left = np.flatnonzero(~known & ~empty)
@@ -117,12 +121,11 @@ def vocabulary_scores(model: LanguageModel, stem: pa.Array) -> np.ndarray:
             break
         chars, bounds = codepoints(stem.take(pa.array(left)))
         h, owner = grams(chars, bounds, order)
-        bucket = (h % np.uint64(GRAM_BUCKETS)).astype(np.int64)
-        seen = model.gram_known[order][bucket]
-        bucket, owner = bucket[seen], owner[seen]
+        at, seen = model.find(order, h)
+        at, owner = at[seen], owner[seen]
         n = np.bincount(owner, minlength=len(left))
         edges = np.concatenate([[0], np.cumsum(n)])
-        mean = sums(model.gram_scores[order][bucket], edges) / np.maximum(n, 1)[:, None]
+        mean = sums(model.scores[order][at], edges) / np.maximum(n, 1)[:, None]
         out[left[n > 0]] = mean[n > 0]
         left = left[n == 0]
     return out
@@ -152,7 +155,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Null texts, texts without a letter, and all texts if no language is known, are ``und`` with
     score 0.  Ties go to the first language by name.  Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was learned from
 
     def predict(batches):
         for batch in slices(batches, 1):
