@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ SIZE = 2048
 END_ID = 0
 #: What a worker's cache of encoded words may hold.
 CACHED_WORDS, CACHED_CHARS = 400_000, 16 << 20
+_MARK = "\x01"
 
 
 # --- encoding ---
@@ -54,38 +56,69 @@ class WordEncoder:
             _encoders[path] = WordEncoder(path)
         return _encoders[path]
 
+    def _load(self) -> None:
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self._made = Tokenizer.from_file(self.path)
+        self._special = [t.content for t in self._made.get_added_tokens_decoder().values()]
+        self._mark = self._made.encode(_MARK, add_special_tokens=False).ids
+        self._forget()
+
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
         self._chars = 0
-        self._ids: list[int] = []
-        self._ends = [0]
-
-    def _numbers(self, vocabulary: list[str]) -> list[int]:
+        self._ids, self._ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _joined(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row and the end of each; many words a call, a mark behind each."""
+        flat = [np.empty(0, np.uint32)]
+        for a in range(0, len(some), 1000):
+            text = f" {_MARK} ".join(some[a : a + 1000]) + f" {_MARK}"
+            flat.append(np.array(self._made.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32))
+        ids = np.concatenate(flat)
+        marks = np.flatnonzero(ids == self._mark[0])
+        return np.delete(ids, marks), marks - np.arange(len(marks))
+
+    def _single(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [np.array(x.ids, np.uint32) for x in self._made.encode_batch_fast(some, add_special_tokens=False)]
+        return np.concatenate([np.empty(0, np.uint32), *made]), np.cumsum([len(x) for x in made], dtype=np.int64)
+
+    def _numbers(self, vocabulary: pa.Array) -> np.ndarray:
         """Where each word's ids are kept."""
         if self._made is None:
-            import os
-
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            from tokenizers import Tokenizer
-
-            self._made = Tokenizer.from_file(self.path)
-            self._forget()
+            self._load()
         if len(self._known) > CACHED_WORDS or self._chars > CACHED_CHARS:
             self._forget()
-        new = [w for w in vocabulary if w not in self._known]
-        for a in range(0, len(new), 4096):
-            for word, made in zip(new[a : a + 4096], self._made.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)):
-                self._known[word] = len(self._ends) - 1
-                self._chars += len(word)
-                self._ids += made.ids
-                self._ends.append(len(self._ids))
-        return [self._known[w] for w in vocabulary]
+        listed = vocabulary.to_pylist()
+        at = np.array([self._known.get(w, -1) for w in listed], np.int64)
+        # Words with control characters or parts of a special token are encoded by themselves.
+        odd = pc.match_substring_regex(vocabulary, r"[\x00-\x1f\x7f]").to_numpy(zero_copy_only=False)
+        for special in self._special:
+            odd |= pc.match_substring(vocabulary, special).to_numpy(zero_copy_only=False)
+        if len(self._mark) != 1:
+            odd[:] = True
+        for encode, mine in ((self._joined, ~odd), (self._single, odd)):
+            new = np.flatnonzero((at < 0) & mine)
+            if not len(new):
+                continue
+            some = [listed[i] for i in new]
+            ids, ends = encode(some)
+            first = len(self._ends) - 1
+            self._ids = np.concatenate([self._ids, ids])
+            self._ends = np.concatenate([self._ends, ends + self._ends[-1]])
+            at[new] = np.arange(first, first + len(new))
+            self._known.update(zip(some, range(first, first + len(new)), strict=True))
+            self._chars += sum(map(len, some))
+        return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, the end id behind each, and the bounds.  Null texts are empty."""
         made = words(texts, lower=None)
-        number = np.array(self._numbers(made.vocabulary.to_pylist()), np.int64)[made.codes]
-        ids, ends = np.array(self._ids, np.uint32), np.array(self._ends, np.int64)
+        number = self._numbers(made.vocabulary)[made.codes]
+        ids, ends = self._ids, self._ends
         length = ends[number + 1] - ends[number]
         before = np.concatenate([[0], np.cumsum(length)])
         size = before[made.bounds[1:]] - before[made.bounds[:-1]]
