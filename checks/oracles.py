@@ -371,6 +371,22 @@ ORACLES: dict[str, str] = {
     ),
     "link_titles_nested": kept(f"not ({SHORT})", STRIP.format("'Financial sanctions, ' || line"), "text"),
     "links_after_coded": f"select doc_id, pos from ({kept(f'not ({SHORT})', 'line', 'line')})",
+    "as_of_publication": """
+select o.o_orderkey, p.price
+from orders o asof left join (
+  select o_custkey, o_orderdate, max(o_totalprice) as price from orders where o_orderpriority = '1-URGENT' group by 1, 2) p
+on o.o_custkey = p.o_custkey and o.o_orderdate >= p.o_orderdate
+""",
+    "match_patterns": r"""
+with asked as (
+  select s_suppkey, lpad(s_suppkey::varchar, 4, '0') as number, lpad((s_suppkey // 50)::varchar, 2, '0') as part from supplier)
+select c_custkey, s_suppkey
+from customer join asked on regexp_matches(c_name, case
+  when s_suppkey % 50 = 0 then '0[1-3]' || part || '$'
+  when s_suppkey % 3 = 0 then '^Customer#0*[1-9]?' || number || '$'
+  when s_suppkey % 3 = 1 then '(?:Customer|Supplier)#\d+' || number || '$'
+  else number || '[^a-z]?$' end)
+""",
     "page_state": f"""
 with orders_in as (
   select o_custkey, o_orderkey % {N} as f, timestamp '1998-03-01' as landed from orders, range(2)

@@ -12,7 +12,7 @@ from checks import bindings as B
 from checks import publications as P
 from vigilframe import schema as S
 from vigilframe.functions import names as N
-from vigilframe.operators import audit, extract, lines, listing, match, update
+from vigilframe.operators import asof, audit, extract, lines, listing, match, patterns, update
 from vigilframe.operators.lineage import landed, scratch_path
 from vigilframe.operators.ladder import with_levels, with_rule_no
 from vigilframe.plans import updaters
@@ -413,6 +413,28 @@ def page_state(spark, sf):
     )
 
 
+def as_of_publication(spark, sf):
+    """The price that was last given as urgent to an order's customer, at or before the order."""
+    orders = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey", "o_orderdate", F.col("o_totalprice").alias("price"))
+    found = asof.as_of(orders.select("o_orderkey", "o_custkey", "o_orderdate"), urgent, ["o_custkey"], "o_orderdate", ["price"])
+    return found.select("o_orderkey", "price")
+
+
+def match_patterns(spark, sf):
+    """A pattern for every supplier, with and without certain literal parts, against all customers."""
+    key = F.col("s_suppkey")
+    number = F.lpad(key.cast("string"), 4, "0")
+    pattern = (
+        F.when(key % 50 == 0, F.concat(F.lit("0[1-3]"), F.lpad((key / 50).cast("int").cast("string"), 2, "0"), F.lit("$")))
+        .when(key % 3 == 0, F.concat(F.lit("^Customer#0*[1-9]?"), number, F.lit("$")))
+        .when(key % 3 == 1, F.concat(F.lit("(?:Customer|Supplier)#\\d+"), number, F.lit("$")))
+        .otherwise(F.concat(number, F.lit("[^a-z]?$")))
+    )
+    suppliers = B.table(spark, sf, "supplier").select("s_suppkey", pattern.alias("pattern"))
+    return patterns.match_patterns(B.table(spark, sf, "customer"), suppliers, "c_custkey", "c_name", pattern_key="s_suppkey")
+
+
 def source_cpi(spark, sf):
     inputs = replace(P.inputs(spark, sf), pages=P.score_pages(spark, sf))
     values = updaters.cpi_values(inputs)
@@ -450,7 +472,7 @@ QUERIES: dict[str, Query] = {
         dedupe_last_wins, union_listings, audit_ids, full_run,
         document_page_lines, first_column, first_column_after_header, definitions, bold_headings,
         paragraph_after, bold_items_until, bold_spans, list_items_after, link_titles, links_after,
-        page_state, first_column_nested, link_titles_nested, links_after_coded,
+        as_of_publication, match_patterns, page_state, first_column_nested, link_titles_nested, links_after_coded,
         source_cpi, run_from_publications,
     )
 }
