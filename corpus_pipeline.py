@@ -62,7 +62,7 @@ STAGES = [
     ("token ids", token_ids),
 ]
 
-#: Hash signatures, a trained model and a tokenizer are beyond SQL; tests compare with a brute-force version.
+#: Hash signatures, a trained model and a tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
