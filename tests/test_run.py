@@ -324,3 +324,13 @@ def test_page_state_keeps_current_pages_and_untouched_buckets(spark, tmp_path):
     assert "v2" in state.vacuum("v3", versions[:3]) and state.read("v3").count() == 4
     assert PageState(spark, f"{tmp_path}/empty").merge(spark.createDataFrame([], PAGE_SCHEMA), "v", None) is None
     assert PageState(spark, f"{tmp_path}/empty").read("v").count() == 0
+
+
+def test_repeated_run_on_a_later_day_replaces_its_audit(spark, tmp_path):
+    log = str(tmp_path / "audit")
+    schema = "SanctionsMapId long, UpdatedAt timestamp"
+    for run_id, day, keys in (("a", 1, [1, 2]), ("b", 1, [3]), ("a", 2, [1, 4]), ("a", 2, [1, 4])):
+        rows = spark.createDataFrame([(k, datetime(2024, 6, day)) for k in keys], schema)
+        sinks.append_audit(rows, log, run_id)
+    found = {(r.run_id, r.run_date.day, r.SanctionsMapId) for r in spark.read.parquet(log).collect()}
+    assert found == {("a", 2, 1), ("a", 2, 4), ("b", 1, 3)} and spark.read.parquet(log).count() == 3

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilframe.operators.lineage import exists, remove
+
 
 def snapshot_path(path: str, run_id: str) -> str:
     return f"{path}/run_id={run_id}"
@@ -31,8 +33,14 @@ def save_register_table(register: DataFrame, table: str, key: str, buckets: int)
 def append_audit(audit: DataFrame, path: str, run_id: str) -> None:
     """S-08: adds a run's rows to the log, partitioned by day and run.
 
-    Repeating a run replaces its own partition and no other, so a retry never doubles rows.
+    Repeating a run replaces its own partitions and no other, so a retry never doubles rows, also
+    on a later day.
     """
+    spark = audit.sparkSession
+    if exists(spark, path):
+        logged = spark.read.parquet(path).where(F.col("run_id").cast("string") == run_id)
+        for row in logged.select("run_date").distinct().collect():  # the days of one run
+            remove(spark, f"{path}/run_date={row.run_date}/run_id={run_id}")
     dated = audit.withColumn("run_date", F.to_date("UpdatedAt")).withColumn("run_id", F.lit(run_id))
     (
         dated.write.mode("overwrite")
