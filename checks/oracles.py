@@ -325,6 +325,8 @@ ORACLES: dict[str, str] = {
         "where n_name = 'NATION_2' or regexp_matches(n_name, 'NATION_1[0-9]')"
     ),
     "diff_snapshots": DIFF,
+    "diff_versions": DIFF,
+    "versions_in_place": f"select * from ({register(T1)}) where id not between 301 and 500",
     "transitions": (
         f"select \"column\", old || '->' || new as direction, count(*) as n from ({DIFF}) "
         "where old in ('YES', 'NO') and new in ('YES', 'NO') group by 1, 2"

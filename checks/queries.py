@@ -18,6 +18,7 @@ from vigilframe.operators.ladder import with_levels, with_rule_no
 from vigilframe.plans import updaters
 from vigilframe.plans.run import changes_of, kind_masks, propose
 from vigilframe.schema import BOUND, LEVELS
+from vigilframe.sources.versions import VersionedTable
 from vigilframe.streaming.state import PageState
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +266,27 @@ def diff_snapshots(spark, sf):
     return _diff(spark, sf)
 
 
+def _versions(spark):
+    return VersionedTable(spark, scratch_path(spark, "register"), "id", width=256)
+
+
+def diff_versions(spark, sf):
+    # Two stored versions compared from the top of their digest trees.
+    table = _versions(spark)
+    for at, version, base in ((B.T0, "1", None), (B.T1, "2", "1")):
+        table.write(landed(with_levels(B.register(spark, sf, at), BOUND)), version, base)
+    return table.diff("1", "2")
+
+
+def versions_in_place(spark, sf):
+    # Changed rows put into the key ranges that hold them, customers 301 to 500 taken out.
+    table = _versions(spark)
+    old, new = (landed(B.register(spark, sf, at)) for at in (B.T0, B.T1))
+    table.write(old, "1")
+    table.apply("2", "1", new.exceptAll(old).where("id NOT BETWEEN 301 AND 500"), new.where("id BETWEEN 301 AND 500"))
+    return table.read("2")
+
+
 def transitions(spark, sf):
     return audit.transitions(_diff(spark, sf))
 
@@ -468,7 +490,7 @@ QUERIES: dict[str, Query] = {
         or_merge, listing_pivot, update_cells, names_per_flag, flag_summary, unmatched_names,
         attribute_lines, attribute_doc_lines, tag_measures, take_until, take_until_turns,
         page_links, list_items, latest_publication, latest_snapshot, slug_semi, match_theta,
-        diff_snapshots, transitions, diff_sentinel, check_changes_null_as_no, check_changes_listed,
+        diff_snapshots, diff_versions, versions_in_place, transitions, diff_sentinel, check_changes_null_as_no, check_changes_listed,
         dedupe_last_wins, union_listings, audit_ids, full_run,
         document_page_lines, first_column, first_column_after_header, definitions, bold_headings,
         paragraph_after, bold_items_until, bold_spans, list_items_after, link_titles, links_after,
