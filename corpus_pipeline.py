@@ -2,12 +2,18 @@
 
 Each stage takes the documents its predecessor kept and returns documents with all columns; the
 last returns one row per document of the token files.  Rows are written between stages.  A stage
-begins by deleting the tables that stages before it landed: their results are stored by then.
+begins by deleting what the stage before it landed, whose result is stored by then, and nothing else.
+
+Nulls: a null text has no language and goes; a null source is a source; rows without a doc_id, and
+rows of one doc_id, are documents like others.  Ties stay apart by doc_id and text.  Empty tables
+give empty results, further columns are handed on, texts of any length are taken whole.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,41 +21,55 @@ from pyspark.sql import functions as F
 from vigilframe.llm import decontam, langid, mixing, neardup, tokens
 from vigilframe.llm.queries import encoder
 from vigilframe.llm.ship import ship
-from vigilframe.operators.lineage import release, shared_folder
+from vigilframe.operators.lineage import release, scratch_paths, shared_folder
+
+
+# What the last stage landed, by application.
+_last: dict[str, list[str]] = {}
+
 
+def _stage(function: Callable) -> Callable:
+    @functools.wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        release(spark, _last.pop(app, []))
+        ship(spark)
+        before = set(scratch_paths(spark))
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _last[app] = [p for p in scratch_paths(spark) if p not in before]
 
-def _begin(spark: SparkSession) -> None:
-    release(spark)
-    ship(spark)
+    return stage
 
 
+@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an identified language; those without a letter, or of an unsure one, go."""
-    _begin(spark)
     return langid.accepted(docs, langid.train(docs, F.lit(True)))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of the least doc_id."""
-    _begin(spark)
     return neardup.deduplicated(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    _begin(spark)
     return decontam.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    _begin(spark)
     return mixing.mixed_documents(docs)
 
 
+@_stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards in order of doc_id, read back: doc_id, start, n_tokens, ids_crc32."""
-    _begin(spark)
     path, manifest = tokens.write_tokens(docs, encoder())
     return tokens.read_tokens(path, manifest)
 

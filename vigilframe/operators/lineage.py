@@ -54,10 +54,17 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes what this application has landed without a path: to be called once results are stored."""
-    for path in _landed.pop(spark.sparkContext.applicationId, []):
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """What this application has landed without a path of its own and not released, in order."""
+    return list(_landed.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Deletes some (None: all) of ``scratch_paths``: to be called once results that need them are stored."""
+    known = _landed.get(spark.sparkContext.applicationId, [])
+    for path in list(known) if paths is None else [p for p in paths if p in known]:
         remove(spark, path)
+        known.remove(path)
 
 
 def landed(df: DataFrame, path: str | None = None) -> DataFrame:
