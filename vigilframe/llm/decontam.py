@@ -13,6 +13,7 @@ check loses nothing by their absence.
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -23,7 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilframe.llm.text import slices, words
+from vigilframe.llm.ship import ship
+from vigilframe.llm.text import free_names, slices, words
 from vigilframe.operators.lineage import landed
 
 CHUNK = 16
@@ -33,7 +35,8 @@ RANK, COMMON, EXTRA = 96, 40, 4
 DENSE = 256
 COSINE, OVERLAP, ANSWER = 0.5, 0.7, 0.5
 PIECE_WORDS = 96
-ITEMS_AT_ONCE = 4000
+PIECES_AT_ONCE = 4000
+MOST_BYTES, MOST_TERMS = 256 << 20, 1_000_000
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¡¿–—·"
 
 
@@ -82,6 +85,10 @@ class Queries:
                     answers.append(np.array([number[w] for w in end] if k == n - 1 else [], np.int64))
         return cls(ids, pieces, answers, terms)
 
+    def part(self, a: int, b: int) -> Queries:
+        """Some of the pieces, with the terms of all."""
+        return Queries(self.item_ids[a:b], self.pieces[a:b], self.answers[a:b], self.terms)
+
 
 def _terms(batches, terms: list[str]):
     """doc_id, term numbers of known words (+1, 0 closes nothing), and how many each chunk has."""
@@ -243,7 +250,7 @@ def find(stored: DataFrame, queries: Queries, space: np.ndarray, idf: np.ndarray
             own[w] = own.get(w, 0) | 1 << i
         masks.append(own)
     spark = stored.sparkSession
-    shared = spark.sparkContext.broadcast((table, latent, reach, queries.pieces, queries.answers, masks))  # bounded by ITEMS_AT_ONCE
+    shared = spark.sparkContext.broadcast((table, latent, reach, queries.pieces, queries.answers, masks))  # bounded by MOST_TERMS and PIECES_AT_ONCE
 
     def search(batches):
         table, latent, reach, pieces, answers, masks = shared.value
@@ -290,44 +297,49 @@ def find(stored: DataFrame, queries: Queries, space: np.ndarray, idf: np.ndarray
     return stored.mapInArrow(search, f"doc_id {id_kind}, piece long, cosine double, overlap double")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK, common: int = COMMON, extra: int = EXTRA, cosine: float = COSINE, overlap: float = OVERLAP, answer_share: float = ANSWER) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK, common: int = COMMON, extra: int = EXTRA, cosine: float = COSINE, overlap: float = OVERLAP, answer_share: float = ANSWER, pieces_at_once: int = PIECES_AT_ONCE) -> DataFrame:
     """(doc_id, item_id, cosine, overlap): documents that hold a benchmark item, or a piece of a long one.
 
     Null and empty texts and items hold nothing and are not looked for.  Rows of one doc_id give
-    one result an item, with the largest figures; rows with a null doc_id are searched like
-    others.  An empty table on either side gives no rows.  Items are taken ``ITEMS_AT_ONCE`` at a
-    time, so that what tasks are sent stays bounded for any benchmark.
+    one result an item, with the largest figures of its pieces (a piece has those of the first window
+    that passes); rows with a null doc_id are searched like others, those with a null item_id too.
+    An empty table on either side gives no rows.  Pieces are searched ``pieces_at_once`` at a time,
+    with the same result for any number.  A benchmark beyond ``MOST_BYTES`` of texts or ``MOST_TERMS``
+    distinct words raises an error: what the driver and tasks hold grows with its words.
     """
     spark = docs.sparkSession
-    id_kind = docs.schema["doc_id"].dataType.simpleString()
-    items = landed(benchmark.select(F.col("item_id"), F.col("text")).where("text IS NOT NULL").distinct())
-    blocks = -(-items.count() // ITEMS_AT_ONCE)
-    made = None
-    for k in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toPandas().sort_values(["item_id", "text"])
-        queries = Queries.of(some)
-        if not queries.pieces:
-            continue
-        terms = queries.terms
-        kind = np.uint16 if len(terms) < 1 << 16 else np.uint32
-        sent = spark.sparkContext.broadcast(terms)
-        stored = landed(docs.select("doc_id", "text").mapInArrow(lambda b, sent=sent: _terms(b, sent.value), f"doc_id {id_kind}, terms binary, chunks binary"))
-        n, df = document_frequencies(stored, len(terms), kind)
-        # Squared: what few documents hold should settle a match, not filler.
-        idf = np.log((1.0 + n) / (1.0 + df)) ** 2 + 1e-3
-        space = latent_space(stored, idf, kind, rank=rank, common=common, extra=extra)
-        hits = find(stored, queries, space, idf, kind, cosine=cosine, overlap=overlap, answer_share=answer_share, id_kind=id_kind)
-        item_kind = benchmark.schema["item_id"].dataType.simpleString()
-        names = spark.createDataFrame(list(enumerate(queries.item_ids)), f"piece long, item_id {item_kind}")
-        one = landed(hits.join(F.broadcast(names), "piece").select("doc_id", "item_id", "cosine", "overlap"))
-        made = one if made is None else made.unionByName(one)
-    if made is None:
-        item_kind = benchmark.schema["item_id"].dataType.simpleString()
-        return spark.createDataFrame([], f"doc_id {id_kind}, item_id {item_kind}, cosine double, overlap double")
-    return made.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("overlap").alias("overlap"))
+    ship(spark)
+    id_kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (benchmark, "item_id")))
+    result = f"doc_id {id_kind}, item_id {item_kind}, cosine double, overlap double"
+    items = landed(benchmark.select("item_id", "text").where("text IS NOT NULL").distinct())
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > MOST_BYTES:
+        raise ValueError(f"{size} bytes of benchmark texts; more than {MOST_BYTES} are to be given in parts")
+    queries = Queries.of(items.toPandas().sort_values(["item_id", "text"]))
+    if len(queries.terms) > MOST_TERMS:
+        raise ValueError(f"{len(queries.terms)} distinct words of benchmark texts; more than {MOST_TERMS} are to be given in parts")
+    if not queries.pieces:
+        return spark.createDataFrame([], result)
+    # Terms, weights and space are those of all items; only the search takes them in blocks.
+    kind = np.uint16 if len(queries.terms) < 1 << 16 else np.uint32
+    sent = spark.sparkContext.broadcast(queries.terms)
+    stored = landed(docs.select("doc_id", "text").mapInArrow(lambda b: _terms(b, sent.value), f"doc_id {id_kind}, terms binary, chunks binary"))
+    n, df = document_frequencies(stored, len(queries.terms), kind)
+    # Squared: what few documents hold should settle a match, not filler.
+    idf = np.log((1.0 + n) / (1.0 + df)) ** 2 + 1e-3
+    space = latent_space(stored, idf, kind, rank=rank, common=common, extra=extra)
+    made = []
+    for a in range(0, len(queries.pieces), pieces_at_once):
+        some = queries.part(a, a + pieces_at_once)
+        hits = find(stored, some, space, idf, kind, cosine=cosine, overlap=overlap, answer_share=answer_share, id_kind=id_kind)
+        names = spark.createDataFrame(list(enumerate(some.item_ids)), f"piece long, item_id {item_kind}")
+        made.append(landed(hits.join(F.broadcast(names), "piece").select("doc_id", "item_id", "cosine", "overlap")))
+    found = functools.reduce(DataFrame.unionByName, made)
+    return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("overlap").alias("overlap"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` whose doc_id holds nothing of the benchmark."""
-    gone = contaminated(docs, benchmark, **how).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")
+    (of,) = free_names(docs, "gone")
+    gone = contaminated(docs, benchmark, **how).select(F.col("doc_id").alias(of)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(of)), "left_anti")

@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilframe.llm.text import mixed
+from vigilframe.llm.ship import ship
+from vigilframe.llm.text import free_names, mixed
 from vigilframe.operators.lineage import landed, scratch_path
 
 LEAST_CHARS = 20
@@ -22,6 +23,8 @@ LEAST_DOCS = 3
 _SPACE = "[\\x20\\x09-\\x0D]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLOTS = 4
+KEYS_PER_SHARD = 1_000_000
+BATCHES = 2
 
 
 def lines_of(text: Column) -> Column:
@@ -131,13 +134,15 @@ def _keys(table: pa.Table) -> np.ndarray:
 class LineIndex:
     """Line keys with exact counts: ``postings(k1, k2, doc_id)``, ``refs(k1, k2, n_docs, last_doc)``, ``filters(shard, filter)``.
 
-    ``shard_bits`` sets the shards: a filter holds 1 / 2**shard_bits of all keys in one task, so
-    choose it by the number of distinct keys (a million keys a shard make 5 MB).
+    A filter holds 1 / 2**shard_bits of all keys in one task.  The bits grow with the number of
+    distinct keys, so that a shard has a million at most on average (5 MB), and all filters are
+    then built anew from the exact table.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, *, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, shard_bits: int = 8):
         self.spark, self.path, self.version = spark, path or scratch_path(spark, "lines"), 0
         self.least_chars, self.least_docs, self.shard_bits = least_chars, least_docs, shard_bits
+        ship(spark)
 
     def table(self, name: str, version: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}-{self.version if version is None else version}")
@@ -157,6 +162,13 @@ class LineIndex:
 
         return refs.select(self._shard(), "k1", "k2").groupBy("shard").applyInArrow(build, "shard int, filter binary")
 
+    def _grow(self, refs: DataFrame) -> bool:
+        """Whether the keys need more shards than there are, which are set then."""
+        needed = max(0, -(-refs.count() // KEYS_PER_SHARD) - 1).bit_length()
+        grows = needed > self.shard_bits
+        self.shard_bits = max(self.shard_bits, needed)
+        return grows
+
     def insert(self, docs: DataFrame) -> DataFrame:
         """Adds documents and returns their keys (k1, k2, doc_id); documents that are in it already add nothing.
 
@@ -166,13 +178,13 @@ class LineIndex:
         if self.version == 0:
             postings = self._store("postings", new)
             refs = self._store("refs", self._refs(postings))
+            self._grow(refs)
             self._store("filters", self._filters(refs))
             self.version += 1
             return postings
         new = landed(new)
-        seen = self.maybe_seen(new.select("k1", "k2").distinct())
+        seen = landed(self.maybe_seen(new.select("k1", "k2").distinct()))
         old = self.table("postings")
-        same = (old["k1"] == new["k1"]) & (old["k2"] == new["k2"]) & old["doc_id"].eqNullSafe(new["doc_id"])
         # Only keys that a filter may hold are looked up in the exact table.
         asked = landed(new.join(seen.where("seen").select("k1", "k2"), ["k1", "k2"], "left_semi"))
         fresh = new.join(seen.where("NOT seen").select("k1", "k2"), ["k1", "k2"], "left_semi")
@@ -180,9 +192,12 @@ class LineIndex:
         added = landed(fresh.unionByName(asked.join(old, same, "left_anti")))
         postings = self._store("postings", old.unionByName(added))
         before = self.table("refs")
-        self._store("refs", before.unionByName(self._refs(added)).groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc")))
-        born = added.select("k1", "k2").distinct().join(before, ["k1", "k2"], "left_anti")
-        self._store("filters", self._changed(born, insert=True))
+        refs = self._store("refs", before.unionByName(self._refs(added)).groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc")))
+        if self._grow(refs):
+            self._store("filters", self._filters(refs))
+        else:
+            born = added.select("k1", "k2").distinct().join(before, ["k1", "k2"], "left_anti")
+            self._store("filters", self._changed(born, insert=True))
         self.version += 1
         return new
 
@@ -236,27 +251,35 @@ class LineIndex:
     def dedup(self, docs: DataFrame, postings: DataFrame | None = None) -> DataFrame:
         """Adds n_lines, n_dropped and kept_text to the rows of ``docs``, which must have been inserted.
 
-        The text of a document that loses nothing is its own, a null one becomes empty.
+        The text of a document that loses nothing is its own, a null one becomes empty.  Columns of
+        these three names are replaced, others handed on.
         """
-        per_doc = self.dropped(postings).groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("__gone"))
-        per_doc = per_doc.withColumnRenamed("doc_id", "__of")
+        gone, of, cut, left = free_names(docs, "gone", "of", "lines", "kept")
+        per_doc = self.dropped(postings).groupBy(F.col("doc_id").alias(of)).agg(F.collect_list(F.struct("k1", "k2")).alias(gone))
         # A document's list is bounded by its own lines.
-        joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__of"]), "left").drop("__of")
-        joined = joined.withColumn("__lines", lines_of(F.col("text")))
+        joined = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col(of)), "left").withColumn(cut, lines_of(F.col("text")))
 
         def stays(line: Column) -> Column:
             key = line_key(line)
             # Lines too short to count, or of no listed key, stay.
-            return (F.length(key) < self.least_chars) | ~F.array_contains(F.col("__gone"), F.struct(*_hash(key)))
+            return (F.length(key) < self.least_chars) | ~F.array_contains(F.col(gone), F.struct(*_hash(key)))
 
-        kept = F.when(F.col("__gone").isNull(), F.col("__lines")).otherwise(F.filter("__lines", stays))
-        out = joined.withColumn("__kept", kept)
-        n = F.size("__lines").cast("long")
-        return out.select(*docs.columns, n.alias("n_lines"), (n - F.size("__kept")).cast("long").alias("n_dropped"), F.array_join("__kept", "\n").alias("kept_text"))
+        kept = F.when(F.col(gone).isNull(), F.col(cut)).otherwise(F.filter(cut, stays))
+        out = joined.withColumn(left, kept)
+        n = F.size(cut).cast("long")
+        others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept_text")]
+        return out.select(*others, n.alias("n_lines"), (n - F.size(left)).cast("long").alias("n_dropped"), F.array_join(left, "\n").alias("kept_text"))
 
 
-def dedup_lines(docs: DataFrame, **how) -> DataFrame:
-    """One batch into a new index, and its documents without their repeated lines."""
+def dedup_lines(docs: DataFrame, *, batches: int = BATCHES, **how) -> DataFrame:
+    """The documents without their repeated lines, through an index into which they go in batches.
+
+    Batches are divided by a hash of doc_id.  From the second on, the filters tell which keys of a
+    batch are certainly new; the others are looked up in the exact tables, which decide.  The
+    result is the same for any number of batches.
+    """
     index = LineIndex(docs.sparkSession, **how)
-    postings = index.insert(docs.select("doc_id", "text"))
-    return index.dedup(docs, postings)
+    slim = docs.select("doc_id", "text")
+    for k in range(batches):
+        index.insert(slim.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == k))
+    return index.dedup(docs)

@@ -146,3 +146,12 @@ def remainder(column: str, n: int) -> Column:
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    mark = "_"
+    while any(f"{mark}{n}" in taken for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]

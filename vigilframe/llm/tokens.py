@@ -136,14 +136,15 @@ class Encoder:
         # First units stand without a space; they are numbered behind the others.
         slot = np.empty(len(codes), np.int32)
         ids, starts = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
-        done = 0
+        done, total = 0, 0
         for mine, prefix in ((kept & ~first, " "), (kept & first, "")):
             used = np.zeros(len(units), bool)
             used[codes[mine]] = True
             number = np.cumsum(used, dtype=np.int32) + (done - 1)
             slot[mine] = number[codes[mine]]
             some, edges = self._units(units.filter(pa.array(used)).to_pylist(), prefix)
-            starts.append(edges[1:] + starts[-1][-1])
+            starts.append(edges[1:] + total)
+            total += int(edges[-1])
             ids.append(some)
             done += len(edges) - 1
         ids, starts = np.concatenate(ids), np.concatenate(starts)
@@ -226,10 +227,14 @@ def _fingerprints(hashes: np.ndarray) -> np.ndarray:
     return (seeded(hashes, 999) >> np.uint64(32)).astype("<u4")
 
 
-def write_shard(path: str, name: str, parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], kind: str, attempt: str) -> tuple[int, int]:
-    """Writes (keys, ids, bounds) parts in order; returns documents and ids written."""
+#: Stands for a missing key in the index; how many of a shard's first documents have none is in its head.
+NO_KEY = np.iinfo(np.int64).min
+
+
+def write_shard(path: str, name: str, parts: Iterator[tuple[pa.Array, np.ndarray, np.ndarray]], kind: str, attempt: str) -> tuple[int, int]:
+    """Writes (keys, ids, bounds) parts in order, missing keys first; returns documents and ids written."""
     store, folder = _store(path)
-    keys, lengths, total = [], [], 0
+    keys, lengths, total, nulls = [], [], 0, 0
     store.create_dir(folder, recursive=True)
     own = f"{folder}/.{name}-{attempt}"
     with store.open_output_stream(f"{own}.bin") as out:
@@ -237,7 +242,8 @@ def write_shard(path: str, name: str, parts: Iterator[tuple[np.ndarray, np.ndarr
             if len(ids) and int(ids.max()) > np.iinfo(kind).max:
                 raise ValueError(f"an id does not fit {kind}")
             out.write(ids.astype(kind).tobytes())
-            keys.append(some)
+            nulls += some.null_count
+            keys.append(pc.fill_null(some, NO_KEY).to_numpy(zero_copy_only=False))
             lengths.append(np.diff(bounds))
             total += len(ids)
     keys = np.concatenate(keys) if keys else np.empty(0, np.int64)
@@ -253,7 +259,7 @@ def write_shard(path: str, name: str, parts: Iterator[tuple[np.ndarray, np.ndarr
     prints = np.empty(len(keys), "<u4")
     prints[number] = _fingerprints(hashes)
     arrays = {"keys": keys.astype("<i8"), "starts": starts, "bits": np.packbits(perfect.bits), "prints": prints, "place": place}
-    head = {"kind": kind, "n": len(keys), "levels": perfect.sizes, "arrays": {k: [str(v.dtype), len(v)] for k, v in arrays.items()}}
+    head = {"kind": kind, "n": len(keys), "nulls": nulls, "levels": perfect.sizes, "arrays": {k: [str(v.dtype), len(v)] for k, v in arrays.items()}}
     text = json.dumps(head).encode()
     with store.open_output_stream(f"{own}.idx") as out:
         out.write(MAGIC + len(text).to_bytes(8, "little") + text)
@@ -276,7 +282,7 @@ class Shard:
         size = int.from_bytes(data[8:16], "little")
         head, rest = json.loads(data[16 : 16 + size]), io.BytesIO(data[16 + size :])
         load = {k: np.frombuffer(rest.read(n * np.dtype(t).itemsize), t) for k, (t, n) in head["arrays"].items()}
-        self.kind, self.n = np.dtype(head["kind"]), head["n"]
+        self.kind, self.n, self.nulls = np.dtype(head["kind"]), head["n"], head["nulls"]
         self.keys, self.starts, self.prints, self.place = load["keys"], load["starts"], load["prints"], load["place"]
         bits = np.unpackbits(load["bits"], count=sum(head["levels"])).astype(bool) if head["levels"] else np.zeros(0, bool)
         self.perfect = PerfectHash.of(head["levels"], bits)
@@ -305,14 +311,16 @@ def write_tokens(docs: DataFrame, encoder: Encoder, path: str | None = None, *,
     """Encodes every text (null: empty) into shards under ``path``; returns it and a stored manifest.
 
     Manifest: shard, n_docs, n_ids, start (ids before the shard).  doc_id must be an integer; rows
-    with a null doc_id have no key and raise an error.  Rows of one doc_id are separate documents,
-    ordered by text.  An empty table has a manifest without rows.  Other columns are ignored.
+    with a null doc_id come first.  Rows of one doc_id, or without one, are separate documents,
+    ordered by a hash of the text and the text, and may lie in several shards.  An empty table has
+    a manifest without rows.  Other columns are ignored.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
-    rows = docs.select(F.coalesce(F.col("doc_id"), F.raise_error("a document without doc_id")).cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = max(1, -(-docs.count() // docs_per_shard))
-    ranged = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    # The hash divides a doc_id, or the lack of one, that many rows have.
+    ranged = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def write(batches):
         context, mine = TaskContext.get(), Encoder.of_worker(encoder.path, encoder.by_units)
@@ -321,7 +329,7 @@ def write_tokens(docs: DataFrame, encoder: Encoder, path: str | None = None, *,
         def parts():
             for batch in slices(batches, 1):
                 ids, bounds = mine.encode(batch.column(1))
-                yield batch.column(0).to_numpy(zero_copy_only=False), ids, bounds
+                yield batch.column(0), ids, bounds
 
         wrote = write_shard(path, f"shard-{shard:08d}", parts(), kind, str(context.taskAttemptId()))
         if wrote[0]:
@@ -350,7 +358,7 @@ def read_tokens(path: str, manifest: DataFrame) -> DataFrame:
                     raise ValueError(f"shard {shard}: a key is not found")
                 sums = [crc(own.ids(i).astype("<u4").tobytes()) for i in at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own.keys), pa.array(start + own.starts[at]), pa.array(own.starts[at + 1] - own.starts[at]), pa.array(sums, pa.int64())],
+                    [pa.array(own.keys, mask=np.arange(own.n) < own.nulls), pa.array(start + own.starts[at]), pa.array(own.starts[at + 1] - own.starts[at]), pa.array(sums, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
