@@ -1,21 +1,28 @@
 """Katz backoff language model of words: Good-Turing discounts, exactly normalised backoff weights.
 
-Texts are turned once into blocks of word numbers.  A block asks for the counts of its words,
-then of its distinct pairs of neighbours; both are counted in tables partitioned by hash, and
-only the answers, in the order of the question, go back to the block.  So a token that occurs a
-thousand times in a block is asked for once, and no count of the corpus is held in one place.
+Texts are turned once into blocks of word numbers, stored in buckets by block, so that they never
+move again.  A block asks for the counts of its distinct words, then of its distinct pairs, then of
+its distinct triples; each order is counted in tables partitioned by hash of the history, and only
+the answers, in the order of the question, go back to the block.  So a token that occurs a thousand
+times in a block is asked for once, and no count of the corpus is held in one place.  Words are
+numbered by their counts within each part: frequent ones have small numbers, which take few bytes.
 
 P(w | h), recursively, with counts c of the training texts and k = ``LIMIT``:
-  seen after h:    d(c(h w)) c(h w) / (c(h) + 1), d by Good-Turing for counts up to k, else 1;
-  not seen:        a(h) P(w);
-  h never seen:    P(w) = (c(w) + 1) / (N + V + 1), all unknown words together having c = 0.
-a(h) is what seen words leave, over the P of words not seen after h: exact sums over all words,
-so probabilities add up to 1.  The 1 in the first line leaves some mass even where every count is
-above k.  The first word's history is the beginning of the text, a word that is never predicted.
+  h seen, w seen after it:  d(c(h w)) c(h w) / (c(h) + 1), d by Good-Turing of that order for counts
+                            up to k, else 1;
+  h seen, w not after it:   a(h) P(w | h without its first word);
+  h never seen:             P(w | h without its first word);
+  no history:               d(c(w)) c(w) / (N + 1), and what that leaves for all unknown words together.
+a(h) is what seen words leave, over what the shorter history leaves to words not seen after h: exact
+integer sums over all words, so probabilities add up to 1.  The 1 in the denominators leaves some
+mass even where every count is above k.  The first word's history is the beginning of the text, a
+word that is never predicted; the second's is the beginning and the first.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,17 +32,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm.text import hashed, mixed, slices, sums, words
-from vigilframe.operators.lineage import landed
+from vigilframe.operators.lineage import landed, scratch_path
 
 LIMIT = 5
-BEGIN, END = np.uint64(0xB0B0000000000001), np.uint64(0xE0D0000000000001)
-PART_TOKENS = 2_000_000
+BEGIN, END, UNKNOWN, FIRST = 0, 1, 2, 3
+PART_TOKENS = 1_500_000
 HOT_TOKENS = 2_000_000
+BLOCK_BYTES = 8 << 20
+#: Sums per history: how many words follow it 1..k times, counts above; the same of the words' counts one order below.
+N_SUMS = 2 * (LIMIT + 1)
 
 
 def _pack(x: np.ndarray) -> bytes:
     """Integers by planes of bytes, compressed: small numbers take little."""
-    return zstandard.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T), 1)
+    return zstandard.compress(np.ascontiguousarray(np.asarray(x).astype("<u8").view(np.uint8).reshape(-1, 8).T), 1)
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -43,10 +53,23 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.int64)
 
 
-def _blocks(batches):
+def _joined(packed: list[bytes]) -> np.ndarray:
+    return np.concatenate([_unpack(x) for x in packed]) if packed else np.empty(0, np.int64)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _cut(batches):
     """Per slice of texts: ids, held-out flags, words per text, word numbers (frequent first) and the words' hashes."""
     part, n = TaskContext.get().partitionId(), 0
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, BLOCK_BYTES):
         made = words(batch.column(1))
         used = np.bincount(made.codes, minlength=len(made.vocabulary))
         order = np.argsort(-used, kind="stable")[: np.count_nonzero(used)]
@@ -58,134 +81,235 @@ def _blocks(batches):
                 pa.array([part << 32 | n], pa.int64()), pa.array([batch.column(0)], pa.list_(batch.column(0).type)), pa.array([held.tobytes()], pa.binary()),
                 pa.array([made.counts.astype("<i4").tobytes()], pa.binary()), pa.array([_pack(rank[made.codes])], pa.binary()),
                 pa.array([hashed(made.vocabulary)[order].tobytes()], pa.binary()), pa.array([len(made.codes) + batch.num_rows], pa.int64()),
+                pa.array([int((held == 0).sum())], pa.int64()),
             ],
-            names=["block", "ids", "held", "counts", "codes", "hashes", "tokens"],
+            names=["block", "ids", "held", "counts", "codes", "hashes", "tokens", "trained"],
         )
         n += 1
 
 
+def _in_buckets(df: DataFrame, buckets: int) -> DataFrame:
+    """Lands a table in buckets by block: grouping it by block needs no shuffle.  Its name goes at once, the files stay."""
+    spark, name = df.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, "block").sortBy("block").option("path", scratch_path(spark, "blocks")).saveAsTable(name, format="parquet")
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def _rows(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {k: batch.column(k)[i].as_py() for k in batch.schema.names}
+
+
+def _row_of(table: pa.Table) -> dict:
+    return {k: table.column(k)[0].as_py() for k in table.column_names}
+
+
+def _table(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=schema)
+
+
+# ---- words ----------------------------------------------------------------------------------
+
+WORD_ASK = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("seen", pa.binary())])
+WORD_TELL = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("number", pa.binary()), ("count", pa.binary()), ("of_counts", pa.list_(pa.int64()))])
+
+
+def _word_order(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    part = (mixed(hashes) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((hashes, part))
+    return order, part[order]
+
+
+def _ask_words(parts: int):
+    def ask(batches):
+        for row in _rows(batches):
+            hashes, code = np.frombuffer(row["hashes"], np.uint64), _unpack(row["codes"])
+            train = np.repeat(np.frombuffer(row["held"], np.uint8) == 0, np.frombuffer(row["counts"], "<i4"))
+            order, part = _word_order(hashes, parts)
+            seen = np.bincount(code[train], minlength=len(hashes))[order]
+            edges = np.append(_starts(part), len(part))
+            asked = [
+                {"part": int(part[a]), "block": row["block"], "keys": hashes[order[a:b]].tobytes(), "seen": _pack(seen[a:b])}
+                for a, b in zip(edges[:-1], edges[1:], strict=True)
+            ]
+            yield from _table(asked, WORD_ASK).to_batches()
+
+    return ask
+
+
+def _count_words(parts: int):
+    def count(key, asked):
+        """Adds up one part of the word counts and numbers its words; answers every question in its order."""
+        keys = [np.frombuffer(x, np.uint64) for x in asked.column("keys").to_pylist()]
+        word, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, weights=_joined(asked.column("seen").to_pylist()), minlength=len(word)).astype(np.int64)
+        rank = np.empty(len(word), np.int64)
+        rank[np.lexsort((word, -total))] = np.arange(len(word))
+        part = key[0].as_py()
+        number = np.where(total > 0, FIRST + rank * parts + part, UNKNOWN)
+        edges = np.cumsum([len(k) for k in keys])[:-1]
+        told = [
+            {"block": b, "part": part, "number": _pack(x), "count": _pack(c)}
+            for b, x, c in zip(asked.column("block").to_pylist(), np.split(number[at], edges), np.split(total[at], edges), strict=True)
+        ]
+        of = [int((total == r).sum()) for r in range(1, LIMIT + 2)]
+        told.append({"part": part, "of_counts": [*of, int(total.sum()), int((total > 0).sum())]})
+        return _table(told, WORD_TELL)
+
+    return count
+
+
+def _numbered(parts: int, begins: int, schema: pa.Schema):
+    def number(key, stored, told):
+        """A block whose words have their numbers and counts instead of hashes."""
+        row = stored.to_pylist()[0]
+        order, _ = _word_order(np.frombuffer(row.pop("hashes"), np.uint64), parts)
+        by = sorted(zip(told.column("part").to_pylist(), told.column("number").to_pylist(), told.column("count").to_pylist(), strict=True))
+        for name, at, more in (("number", 1, [BEGIN, END]), ("count", 2, [begins, begins])):
+            values = np.empty(len(order), np.int64)
+            values[order] = _joined([x[at] for x in by])
+            row[name] = _pack(np.concatenate([values, more]))
+        return _table([row], schema)
+
+    return number
+
+
+# ---- pairs and triples ----------------------------------------------------------------------
+
+
 class Block:
-    """A block's tokens: local words 0..n-1, then the beginning (n) and the end (n + 1) of texts."""
+    """A block's tokens: local words 0..n-3, then the beginning (n-2) and the end (n-1) of texts."""
 
     def __init__(self, row: dict):
-        self.hashes = np.concatenate([np.frombuffer(row["hashes"], np.uint64), [BEGIN, END]])
-        n, code, counts = len(self.hashes), _unpack(row["codes"]), np.frombuffer(row["counts"], "<i4").astype(np.int64)
+        self.number, self.count = _unpack(row["number"]), _unpack(row["count"])
+        n, code, counts = len(self.number), _unpack(row["codes"]), np.frombuffer(row["counts"], "<i4").astype(np.int64)
         edges = np.concatenate([[0], np.cumsum(counts + 1)])
         self.word = np.full(edges[-1], n - 1)
         inner = np.ones(edges[-1], bool)
         inner[edges[1:] - 1] = False
         self.word[inner] = code
-        self.history = np.concatenate([[0], self.word[:-1]])
-        self.history[edges[:-1]] = n - 2
+        self.first = np.zeros(edges[-1], bool)
+        self.first[edges[:-1]] = True
         self.bounds, self.n = edges, n
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.train = ~np.repeat(self.held, counts + 1)
-        self.begins = int((~self.held).sum())
-
-    def word_question(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Order of the words by part, the part of each, and their training counts here."""
-        part = (mixed(self.hashes) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((self.hashes, part))
-        count = np.bincount(self.word[self.train], minlength=self.n)
-        count[self.n - 2] = self.begins
-        return order, part[order], count[order]
-
-    def pair_question(self, counts: np.ndarray, parts: int):
-        """Distinct pairs in order of part and history: history, word, part, training count; and each token's pair.
-
-        A history of many tokens is cut by word into several parts.
-        """
-        pair, token = np.unique(self.history * self.n + self.word, return_inverse=True)
-        history, word = pair // self.n, pair % self.n
-        cuts = 1 + counts[history] // HOT_TOKENS
-        salt = np.where(cuts > 1, mixed(self.hashes[word]) % cuts.astype(np.uint64), np.uint64(0))
-        part = (mixed(self.hashes[history] + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((pair, part))
+
+
+class Level:
+    """A block's distinct n-grams of one order, in order of part, history and word.
+
+    ``token`` is the n-gram of each token, -1 where its history was never seen; ``a`` and ``b`` are
+    the history's numbers and ``before`` its count, ``below`` that of the word one order lower.
+    """
+
+    def __init__(self, own: Block, inside: np.ndarray, history: np.ndarray, a, b, before, below, parts: int, hot: int):
+        gram, at = np.unique(history[inside] * own.n + own.word[inside], return_inverse=True)
+        some = np.empty(len(gram), np.int64)
+        some[at] = np.flatnonzero(inside)
+        self.a, self.b, self.w = a[some], b[some], own.number[own.word[some]]
+        self.before, self.below, self.history, self.local = before[some], below[some], history[some], own.word[some]
+        cuts = 1 + self.before // hot
+        key = mixed(self.a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(self.b.astype(np.uint64) + np.uint64(1)))
+        salt = np.where(cuts > 1, mixed(self.w.astype(np.uint64)) % cuts.astype(np.uint64), np.uint64(0))
+        self.part = (mixed(key + salt) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((self.local, self.w, self.b, self.a, self.part))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        seen = np.bincount(token[self.train], minlength=len(pair))
-        return history[order], word[order], part[order], seen[order], place[token], cuts[order] > 1
-
+        for name in ("a", "b", "w", "before", "below", "history", "local", "part"):
+            setattr(self, name, getattr(self, name)[order])
+        self.cut = cuts[order] > 1
+        self.token = np.full(len(own.word), -1)
+        self.token[inside] = place[at]
+        self.seen = np.bincount(self.token[inside & own.train], minlength=len(gram))
+        self.starts = _starts(self.part, self.a, self.b)
+
+
+def pairs_of(own: Block, parts: int, hot: int) -> Level:
+    history = np.concatenate([[0], own.word[:-1]])
+    history[own.first] = own.n - 2
+    number = own.number[history]
+    return Level(own, own.count[history] > 0, history, np.zeros_like(number), number, own.count[history], own.count[own.word], parts, hot)
+
+
+def triples_of(own: Block, pairs: Level, counts: np.ndarray, parts: int, hot: int) -> Level:
+    """``counts`` are those of the pairs; a text's first token has no triple."""
+    of = np.append(counts, 0)
+    last = np.concatenate([[-1], pairs.token[:-1]])
+    inside = ~own.first & (of[last] > 0)
+    numbers = lambda x: np.append(x, 0)[last]
+    return Level(own, inside, last, numbers(pairs.b), numbers(pairs.w), of[last], of[pairs.token], parts, hot)
+
+
+ASK = pa.schema([("part", pa.int32()), ("block", pa.int64()), *((k, pa.binary()) for k in ("a", "b", "runs", "w", "below", "seen", "cut"))])
+ASK_SQL = "part int, block long, a binary, b binary, runs binary, w binary, below binary, seen binary, cut binary"
+TELL = pa.schema(
+    [("kind", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("answer", pa.binary()), ("left", pa.binary()),
+     ("a", pa.int64()), ("b", pa.int64()), ("sums", pa.list_(pa.int64()))]
+)
+TELL_SQL = "kind int, block long, part int, answer binary, left binary, a long, b long, sums array<long>"
+
+
+def _question(block: int, level: Level) -> pa.Table:
+    """One row per part: histories, how many words each has, words, and their counts here."""
+    asked = []
+    edges = np.append(_starts(level.part), len(level.part))
+    below = np.where(level.seen > 0, level.below, 0)
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        runs = level.starts[np.searchsorted(level.starts, s) : np.searchsorted(level.starts, e)]
+        asked.append(
+            {
+                "part": int(level.part[s]), "block": block, "a": _pack(level.a[runs]), "b": _pack(level.b[runs]), "runs": _pack(np.diff(np.append(runs, e))),
+                "w": _pack(level.w[s:e]), "below": _pack(below[s:e]), "seen": _pack(level.seen[s:e]), "cut": _pack(level.cut[runs]),
+            }
+        )
+    return _table(asked, ASK)
 
-def _runs(x: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, np.int64)
 
+def _classes(x: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per run: how many counts are 1..k, and the sum of those above, of what is inside."""
+    cols = [np.add.reduceat((inside & (x == r)).astype(np.int64), starts) for r in range(1, LIMIT + 1)]
+    return np.stack([*cols, np.add.reduceat(np.where(inside & (x > LIMIT), x, 0), starts)], axis=1)
 
-def _row_of(table: pa.Table) -> dict:
-    return {k: table.column(k)[0].as_py() for k in table.column_names}
 
+def _count(key, asked):
+    """Adds up one part of an order's counts.
 
-ASK = "part int, block long, keys binary, runs binary, words binary, totals binary, seen binary, hot array<long>"
-
-
-def _ask(block: int, part: int, keys, runs=None, words_=None, totals=None, seen=None, hot=None) -> dict:
-    return {"part": part, "block": block, "keys": keys, "runs": runs, "words": words_, "totals": totals, "seen": seen, "hot": hot}
-
-
-def _asked(rows: list[dict]) -> pa.Table:
-    kinds = [("part", pa.int32()), ("block", pa.int64()), *((k, pa.binary()) for k in ("keys", "runs", "words", "totals", "seen")), ("hot", pa.list_(pa.int64()))]
-    return pa.Table.from_pylist(rows, schema=pa.schema(kinds))
-
-
-def _count_words(key, asked):
-    """Adds up one part of the word counts; answers every question in its order."""
-    keys = [np.frombuffer(x, np.uint64) for x in asked.column("keys").to_pylist()]
-    seen = np.concatenate([_unpack(x) for x in asked.column("seen").to_pylist()])
-    word, at = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(at, weights=seen, minlength=len(word)).astype(np.int64)
-    answers = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
-    real = word != BEGIN
-    rows = {"block": [*asked.column("block").to_pylist(), None], "part": [key[0].as_py()] * (len(keys) + 1)}
-    rows["answer"] = [*map(_pack, answers), _pack(np.array([total[real].sum(), (total[real] > 0).sum()]))]
-    return pa.table({"block": pa.array(rows["block"], pa.int64()), "part": pa.array(rows["part"], pa.int32()), "answer": pa.array(rows["answer"], pa.binary())})
-
-
-PAIRS = "kind int, block long, part int, answer binary, left binary, history long, sums array<long>"
-#: Sums per history: how many words follow it 1..k times, counts above, c(w) + 1 of all that follow it.
-N_SUMS = LIMIT + 2
-
-
-def _count_pairs(key, asked):
-    """Adds up one part of the pair counts.  Kind 0 answers a block, 1 has sums of a cut history, 2 counts of counts."""
-    keys = [np.frombuffer(x, np.uint64) for x in asked.column("keys").to_pylist()]
-    runs = [_unpack(x) for x in asked.column("runs").to_pylist()]
-    history = np.concatenate([np.repeat(k, r) for k, r in zip(keys, runs, strict=True)])
-    word = np.concatenate([np.frombuffer(x, np.uint64) for x in asked.column("words").to_pylist()])
-    total = np.concatenate([_unpack(x) for x in asked.column("totals").to_pylist()])
-    seen = np.concatenate([_unpack(x) for x in asked.column("seen").to_pylist()])
-    order = np.lexsort((word, history))
-    first = np.concatenate([[True], (history[order][1:] != history[order][:-1]) | (word[order][1:] != word[order][:-1])])
-    pair = np.empty(len(order), np.int64)
-    pair[order] = np.cumsum(first) - 1
-    count = np.bincount(pair, weights=seen).astype(np.int64)
-    whose, own = history[order][first], total[order][first] + 1
-    starts = _runs(whose)
-    by = np.zeros((len(starts), N_SUMS), np.int64)
-    for r in range(1, LIMIT + 1):
-        by[:, r - 1] = np.add.reduceat((count == r).astype(np.int64), starts)
-    by[:, LIMIT] = np.add.reduceat(np.where(count > LIMIT, count, 0), starts)
-    by[:, LIMIT + 1] = np.add.reduceat(np.where(count > 0, own, 0), starts)
-    histories = whose[starts]
-    out = []
-    edge = 0
-    for block, k, r in zip(asked.column("block").to_pylist(), keys, runs, strict=True):
-        mine = count[pair[edge : edge + r.sum()]]
-        edge += int(r.sum())
-        # Only histories with a pair never seen in training need their sums.
-        lacks = np.add.reduceat((mine == 0).astype(np.int64), np.cumsum(r) - r) > 0
-        left = by[np.searchsorted(histories, k[lacks])].astype("<i8")
-        out.append((0, block, _pack(mine), _pack(left.T.ravel()), None, None))
-    for h in {x for y in asked.column("hot").to_pylist() for x in y or []}:
-        at = np.searchsorted(histories, np.array([h]).view(np.uint64)[0])
-        out.append((1, None, None, None, h, by[at].tolist()))
-    out.append((2, None, None, None, None, [int((count == r).sum()) for r in range(1, LIMIT + 2)]))
-    cols = list(zip(*out, strict=True))
-    return pa.table(
-        {
-            "kind": pa.array(cols[0], pa.int32()), "block": pa.array(cols[1], pa.int64()), "part": pa.array([key[0].as_py()] * len(out), pa.int32()),
-            "answer": pa.array(cols[2], pa.binary()), "left": pa.array(cols[3], pa.binary()), "history": pa.array(cols[4], pa.int64()), "sums": pa.array(cols[5], pa.list_(pa.int64())),
-        }
-    )
+    Kind 0 answers a block; 1 has this part's sums of a history that is cut into parts, 5 says that a
+    block needs them; 2 has counts of counts.
+    """
+    lists = {k: [_unpack(x) for x in asked.column(k).to_pylist()] for k in ("a", "b", "runs", "cut")}
+    runs = np.concatenate(lists["runs"])
+    a, b = (np.repeat(np.concatenate(lists[k]), runs) for k in ("a", "b"))
+    w, below, seen = (_joined(asked.column(k).to_pylist()) for k in ("w", "below", "seen"))
+    order = np.lexsort((w, b, a))
+    a, b = a[order], b[order]
+    first = _starts(a, b, w[order])
+    gram = np.empty(len(order), np.int64)
+    gram[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    count, under = np.add.reduceat(seen[order], first), np.maximum.reduceat(below[order], first)
+    a, b = a[first], b[first]
+    starts = _starts(a, b)
+    by = np.concatenate([_classes(count, count > 0, starts), _classes(under, count > 0, starts)], axis=1)
+    owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(first))))
+    part = key[0].as_py()
+    out, cut_at, edge = [], set(), 0
+    for i, block in enumerate(asked.column("block").to_pylist()):
+        n = lists["runs"][i]
+        grams = gram[edge : edge + n.sum()]
+        edge += int(n.sum())
+        mine, at = count[grams], np.cumsum(n) - n
+        # Only histories with a word never seen after them need their sums.
+        lacks = np.add.reduceat((mine == 0).astype(np.int64), at) > 0
+        out.append({"kind": 0, "block": block, "part": part, "answer": _pack(mine), "left": _pack(by[owner[grams[at[lacks]]]].T.ravel())})
+        for h in owner[grams[at[lists["cut"][i] > 0]]].tolist():
+            cut_at.add(h)
+            out.append({"kind": 5, "block": block, "part": part, "a": int(a[starts[h]]), "b": int(b[starts[h]])})
+    out += [{"kind": 1, "part": part, "a": int(a[starts[h]]), "b": int(b[starts[h]]), "sums": by[h].tolist()} for h in cut_at]
+    out.append({"kind": 2, "part": part, "sums": [int((count == r).sum()) for r in range(1, LIMIT + 2)]})
+    return _table(out, TELL)
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -200,118 +324,139 @@ def discounts(n: list[int]) -> np.ndarray:
     return d
 
 
-def _word_counts(own: Block, answers: pa.Table, parts: int) -> np.ndarray:
-    order, _, _ = own.word_question(parts)
-    by = sorted(zip(answers.column("part").to_pylist(), answers.column("answer").to_pylist(), strict=True))
-    counts = np.empty(own.n, np.int64)
-    counts[order] = np.concatenate([_unpack(x) for _, x in by])
-    return counts
+def _told(asked: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Answers to a question (kind 0, and 1 for histories in several parts), and the order's discounts."""
+    told = landed(asked.groupBy("part").applyInArrow(_count, TELL_SQL))
+    of = told.where("kind = 2").select([F.sum(F.col("sums")[r]) for r in range(LIMIT + 1)]).first()
+    whole = told.where("kind = 1").groupBy("a", "b").agg(F.array(*[F.sum(F.col("sums")[r]) for r in range(N_SUMS)]).alias("sums"))
+    need = told.where("kind = 5").select("block", "a", "b").distinct().join(whole, ["a", "b"])
+    cut = need.select(F.lit(1).alias("kind"), "block", F.lit(0).alias("part"), F.lit(None).cast("binary").alias("answer"), F.lit(None).cast("binary").alias("left"), "a", "b", "sums")
+    return told.where("kind = 0").unionByName(cut), discounts([x or 0 for x in of])
+
+
+def _answers(level: Level, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of a level's n-grams, and the sums of their histories (of those that lack a word)."""
+    plain = told.filter(pc.equal(told.column("kind"), 0))
+    by = sorted(zip(*(plain.column(k).to_pylist() for k in ("part", "answer", "left")), strict=True))
+    counts = _joined([x for _, x, _ in by])
+    runs = level.starts
+    values = np.zeros((len(runs), N_SUMS), np.int64)
+    if len(runs):
+        lacks = np.add.reduceat((counts == 0).astype(np.int64), runs) > 0
+        values[lacks] = np.concatenate([_unpack(x).reshape(N_SUMS, -1) for _, _, x in by], axis=1).T
+    cut = told.filter(pc.equal(told.column("kind"), 1))
+    whole = {(x, y): z for x, y, z in zip(*(cut.column(k).to_pylist() for k in ("a", "b", "sums")), strict=True)}
+    if whole:
+        for i in np.flatnonzero(level.cut[runs]):
+            values[i] = whole[int(level.a[runs[i]]), int(level.b[runs[i]])]
+    return counts, np.repeat(values, np.diff(np.append(runs, len(counts))), axis=0)
+
+
+def _used(sums_: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Discounted counts in all, from classes of counts."""
+    return (sums_[:, :LIMIT] * (np.arange(1, LIMIT + 1) * d[1:])).sum(1) + sums_[:, LIMIT]
+
+
+def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return np.where(c <= LIMIT, d[np.minimum(c, LIMIT)], 1.0) * c
 
 
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
+def _probability(level: Level, counts, sums_, d, lower, d_lower, size_lower) -> np.ndarray:
+    """P of each n-gram; ``lower`` is that of its word after the shorter history, whose counts add up to ``size_lower`` - 1."""
+    size = level.before + 1.0
+    left = (size - _used(sums_[:, : LIMIT + 1], d)) / size
+    others = (size_lower - _used(sums_[:, LIMIT + 1 :], d_lower)) / size_lower
+    return np.where(counts > 0, _discounted(counts, d) / size, left / others * lower)
+
+
+def score(docs: DataFrame, held_out: Column, part_tokens: int = PART_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) for each row of ``docs``.
 
     The model learns from the rows that ``held_out`` is not true for, and scores all.  A-Z are
     lower-cased; a text's tokens are its words and one end.  Null and empty texts are an end
     alone.  Rows with a null or repeated doc_id are separate texts.  Without training rows every
-    token has probability 1.  Other columns are ignored.
+    token has probability 1.  Other columns are ignored.  A part of a table counts about
+    ``part_tokens``; a history of more than ``hot_tokens`` is cut by word into several parts.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held"))
-    blocks = landed(rows.mapInArrow(_blocks, f"block long, ids array<{kind}>, held binary, counts binary, codes binary, hashes binary, tokens long"))
-    tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
-    parts = max(12, -(-tokens // PART_TOKENS))
-
-    def ask_words(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {k: batch.column(k)[i].as_py() for k in ("block", "held", "counts", "codes", "hashes")}
-                own = Block(row)
-                order, part, count = own.word_question(parts)
-                starts = _runs(part)
-                ends = np.append(starts[1:], len(part))
-                asked = [_ask(row["block"], int(part[a]), own.hashes[order[a:b]].tobytes(), seen=_pack(count[a:b])) for a, b in zip(starts, ends, strict=True)]
-                yield from _asked(asked).to_batches()
-
-    slim = blocks.select("block", "held", "counts", "codes", "hashes")
-    word_answers = landed(slim.mapInArrow(ask_words, ASK).groupBy("part").applyInArrow(_count_words, "block long, part int, answer binary"))
-    total, vocabulary = np.sum([_unpack(r.answer) for r in word_answers.where("block IS NULL").select("answer").toLocalIterator()] or [[0, 0]], axis=0)
-    total, vocabulary = int(total), int(vocabulary)
-    to_blocks = word_answers.where("block IS NOT NULL")
-
-    def ask_pairs(key, stored, answers):
-        row = _row_of(stored)
-        own = Block(row)
-        counts = _word_counts(own, answers, parts)
-        history, word, part, seen, _, hot = own.pair_question(counts, parts)
-        starts = _runs(part)
-        out = []
-        for a, b in zip(starts, np.append(starts[1:], len(part)), strict=True):
-            runs = _runs(history[a:b])
-            keys = own.hashes[history[a:b][runs]]
-            cut = keys[hot[a:b][runs]].view(np.int64).tolist()
-            out.append(_ask(row["block"], int(part[a]), keys.tobytes(), _pack(np.diff(np.append(runs, b - a))), own.hashes[word[a:b]].tobytes(), _pack(counts[word[a:b]]), _pack(seen[a:b]), cut or None))
-        return _asked(out)
-
-    pairs = slim.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(ask_pairs, ASK)
-    pair_answers = landed(pairs.groupBy("part").applyInArrow(_count_pairs, PAIRS))
-    of_counts = pair_answers.where("kind = 2").select([F.sum(F.col("sums")[r]).alias(f"n{r}") for r in range(LIMIT + 1)]).first()
-    d = discounts([x or 0 for x in of_counts])
-    # Histories that were cut: their sums are added up, and go to the blocks that hold them.
-    cut = pair_answers.where("kind = 1").groupBy("history").agg(F.array(*[F.sum(F.col("sums")[r]) for r in range(N_SUMS)]).alias("sums"))
-    heavy = 1.0 * HOT_TOKENS
-
-    def hot_words(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own = np.frombuffer(batch.column(1)[i].as_py(), np.uint64)
-                mine = np.concatenate([own, [BEGIN]]).view(np.int64)
-                yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(mine), batch.column(0)[i].as_py())), "history": pa.array(mine)})
-
-    if total + 1 > heavy:
-        asked = blocks.select("block", "hashes").mapInArrow(hot_words, "block long, history long").join(cut, "history")
-        extra = asked.select(F.lit(1).alias("kind"), "block", F.lit(0).alias("part"), F.lit(None).cast("binary").alias("answer"), F.lit(None).cast("binary").alias("left"), "history", "sums")
-    else:
-        extra = pair_answers.where("false")
-    columns = ["kind", "block", "part", "answer", "left", "history", "sums"]
-    words_back = to_blocks.select(F.lit(3).alias("kind"), "block", "part", "answer", F.lit(None).cast("binary").alias("left"), F.lit(None).cast("long").alias("history"), F.lit(None).cast("array<long>").alias("sums"))
-    answers = pair_answers.where("kind = 0").select(columns).unionByName(extra.select(columns)).unionByName(words_back.select(columns))
-
-    def evaluate(key, stored, answers):
+    schema = f"block long, ids array<{kind}>, held binary, counts binary, codes binary, hashes binary, tokens long, trained long"
+    cut = rows.mapInArrow(_cut, schema)
+    # Fewer buckets than shuffle partitions would be shuffled once more.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    blocks = _in_buckets(cut, buckets)
+    tokens, begins = (x or 0 for x in blocks.agg(F.sum("tokens"), F.sum("trained")).first())
+    parts = max(12, -(-tokens // part_tokens))
+
+    asked = blocks.select("block", "held", "counts", "codes", "hashes").mapInArrow(_ask_words(parts), "part int, block long, keys binary, seen binary")
+    told = landed(asked.groupBy("part").applyInArrow(_count_words(parts), "block long, part int, number binary, count binary, of_counts array<long>"))
+    of = told.where("block IS NULL").select([F.sum(F.col("of_counts")[r]) for r in range(LIMIT + 3)]).first()
+    *of, total, vocabulary = (int(x or 0) for x in of)
+    total += begins
+    vocabulary += begins > 0
+    if 0 < begins <= LIMIT + 1:
+        of[begins - 1] += 1
+    d1 = discounts(of)
+    unknown = 1 + sum(r * of[r - 1] * (1 - d1[r]) for r in range(1, LIMIT + 1))
+
+    ids_type = pa.list_(cut_type(docs))
+    numbered_schema = pa.schema([("block", pa.int64()), ("ids", ids_type), *((k, pa.binary()) for k in ("held", "counts", "codes", "number", "count"))])
+    answers = told.where("block IS NOT NULL").drop("of_counts")
+    numbered = blocks.drop("tokens", "trained").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _numbered(parts, begins, numbered_schema), f"block long, ids array<{kind}>, held binary, counts binary, codes binary, number binary, count binary"
+    )
+    numbered = _in_buckets(numbered, buckets)
+    slim = numbered.drop("ids")
+
+    def ask_pairs(batches):
+        for row in _rows(batches):
+            yield from _question(row["block"], pairs_of(Block(row), parts, hot_tokens)).to_batches()
+
+    pair_told, d2 = _told(slim.mapInArrow(ask_pairs, ASK_SQL))
+
+    def ask_triples(key, stored, told):
         row = _row_of(stored)
         own = Block(row)
-        of = lambda k: answers.filter(pc.equal(answers.column("kind"), k))
-        counts = _word_counts(own, of(3), parts)
-        history, word, part, _, place, _ = own.pair_question(counts, parts)
-        mine = sorted(zip(of(0).column("part").to_pylist(), of(0).column("answer").to_pylist(), of(0).column("left").to_pylist(), strict=True))
-        seen = np.concatenate([_unpack(x) for _, x, _ in mine])
-        by = np.concatenate([_unpack(x).reshape(N_SUMS, -1) for _, _, x in mine], axis=1).T.astype(float)
-        # Sums come for each history with an unseen pair, in order of part and history.
-        starts = np.flatnonzero(np.concatenate([[True], (history[1:] != history[:-1]) | (part[1:] != part[:-1])]))
-        lacks = np.add.reduceat((seen == 0).astype(np.int64), starts) > 0
-        sums_of = np.zeros((own.n, N_SUMS))
-        sums_of[history[starts[lacks]]] = by
-        cut_rows = of(1)
-        if cut_rows.num_rows:
-            at = {h: i for i, h in enumerate(own.hashes.view(np.int64).tolist())}
-            for h, x in zip(cut_rows.column("history").to_pylist(), cut_rows.column("sums").to_pylist(), strict=True):
-                sums_of[at[h]] = x
-        size = float(total + vocabulary + 1)
-        base = (counts + 1) / size
-        r = np.arange(1, LIMIT + 1)
-        used = (sums_of[:, :LIMIT] * (r * d[1:])).sum(1) + sums_of[:, LIMIT]
-        known = counts > 0
-        backoff = np.where(known, (1 - used / (counts + 1)) / (1 - sums_of[:, LIMIT + 1] / size), 1.0)
-        weight = np.where(seen <= LIMIT, d[np.minimum(seen, LIMIT)], 1.0) * seen / (counts[history] + 1)
-        p = np.where(seen > 0, weight, backoff[history] * base[word])
-        n_docs = len(own.held)
+        pairs = pairs_of(own, parts, hot_tokens)
+        counts, _ = _answers(pairs, told)
+        return _question(row["block"], triples_of(own, pairs, counts, parts, hot_tokens))
+
+    triple_told, d3 = _told(slim.groupBy("block").cogroup(pair_told.where("kind = 0").groupBy("block")).applyInArrow(ask_triples, ASK_SQL))
+
+    def evaluate(key, stored, told):
+        own = Block(_row_of(stored.drop_columns(["ids"])))
+        of = lambda order: told.filter(pc.equal(told.column("order"), order))
+        size = total + 1.0
+        base = (own.count + 1) / (total + vocabulary + 1.0)
+        known = own.count > 0
+        single = np.where(known, _discounted(own.count, d1), unknown) / size
+        pairs = pairs_of(own, parts, hot_tokens)
+        counts, sums_ = _answers(pairs, of(2))
+        p2 = _probability(pairs, counts, sums_, d2, single[pairs.local], d1, size)
+        p = np.where(pairs.token >= 0, np.append(p2, 0)[pairs.token], single[own.word])
+        triples = triples_of(own, pairs, counts, parts, hot_tokens)
+        inside = triples.token >= 0
+        lower, after = np.empty(len(triples.w)), np.empty(len(triples.w))
+        lower[triples.token[inside]] = p[inside]
+        after[triples.token[inside]] = pairs.before[pairs.token[inside]]
+        counts, sums_ = _answers(triples, of(3))
+        p3 = _probability(triples, counts, sums_, d3, lower, d2, after + 1.0)
+        p[inside] = p3[triples.token[inside]]
         return pa.table(
             {
                 "doc_id": stored.column("ids").combine_chunks().flatten(), "held_out": pa.array(own.held), "n_tokens": pa.array(np.diff(own.bounds)),
-                "n_known": pa.array(sums(known[own.word].astype(float), own.bounds).astype(np.int64)), "train_tokens": pa.array(np.full(n_docs, total, np.int64)),
-                "base_score": pa.array(sums(np.log10(base)[own.word], own.bounds)), "score": pa.array(sums(np.log10(p)[place], own.bounds)),
+                "n_known": pa.array(sums(known[own.word].astype(float), own.bounds).astype(np.int64)), "train_tokens": pa.array(np.full(len(own.held), total, np.int64)),
+                "base_score": pa.array(sums(np.log10(base)[own.word], own.bounds)), "score": pa.array(sums(np.log10(p), own.bounds)),
             }
         )
 
+    both = pair_told.withColumn("order", F.lit(2)).unionByName(triple_told.withColumn("order", F.lit(3)))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.drop("tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(evaluate, schema)
+    return numbered.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(evaluate, schema)
+
+
+def cut_type(docs: DataFrame) -> pa.DataType:
+    """The Arrow type of doc_id."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(docs.schema["doc_id"].dataType)
