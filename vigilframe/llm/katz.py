@@ -24,6 +24,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -32,13 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilframe.llm.text import hashed, mixed, slices, sums, words
-from vigilframe.operators.lineage import landed, scratch_path
+from vigilframe.operators.lineage import landed, release, scratch_path
 
 LIMIT = 5
 BEGIN, END, UNKNOWN, FIRST = 0, 1, 2, 3
-PART_TOKENS = 1_500_000
+PART_TOKENS = 1_000_000
 HOT_TOKENS = 2_000_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Sums per history: how many words follow it 1..k times, counts above; the same of the words' counts one order below.
 N_SUMS = 2 * (LIMIT + 1)
 
@@ -88,10 +89,10 @@ def _cut(batches):
         n += 1
 
 
-def _in_buckets(df: DataFrame, buckets: int) -> DataFrame:
+def _in_buckets(df: DataFrame, buckets: int, path: str) -> DataFrame:
     """Lands a table in buckets by block: grouping it by block needs no shuffle.  Its name goes at once, the files stay."""
     spark, name = df.sparkSession, f"blocks_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, "block").sortBy("block").option("path", scratch_path(spark, "blocks")).saveAsTable(name, format="parquet")
+    df.write.bucketBy(buckets, "block").sortBy("block").option("path", path).saveAsTable(name, format="parquet")
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return stored
@@ -206,25 +207,30 @@ class Level:
     """
 
     def __init__(self, own: Block, inside: np.ndarray, history: np.ndarray, a, b, before, below, parts: int, hot: int):
-        gram, at = np.unique(history[inside] * own.n + own.word[inside], return_inverse=True)
+        at, gram = pd.factorize(history[inside] * own.n + own.word[inside])
         some = np.empty(len(gram), np.int64)
         some[at] = np.flatnonzero(inside)
-        self.a, self.b, self.w = a[some], b[some], own.number[own.word[some]]
-        self.before, self.below, self.history, self.local = before[some], below[some], history[some], own.word[some]
-        cuts = 1 + self.before // hot
-        key = mixed(self.a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(self.b.astype(np.uint64) + np.uint64(1)))
-        salt = np.where(cuts > 1, mixed(self.w.astype(np.uint64)) % cuts.astype(np.uint64), np.uint64(0))
-        self.part = (mixed(key + salt) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((self.local, self.w, self.b, self.a, self.part))
+        # Histories and words in the order of the block's own numbers: frequent ones first.
+        by = np.argsort(gram)
+        some, rank = some[by], np.empty(len(gram), np.int64)
+        rank[by] = np.arange(len(gram))
+        w, local, before = own.number[own.word[some]], own.word[some], before[some]
+        cuts = 1 + before // hot
+        key = mixed(a[some].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(b[some].astype(np.uint64) + np.uint64(1)))
+        salt = np.where(cuts > 1, mixed(w.astype(np.uint64)) % cuts.astype(np.uint64), np.uint64(0))
+        part = mixed(key + salt) % np.uint64(parts)
+        order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint64), kind="stable")
+        some = some[order]
+        self.a, self.b, self.w, self.below, self.history = a[some], b[some], w[order], below[some], history[some]
+        self.before, self.local, self.part, self.cut = before[order], local[order], part[order].astype(np.int64), cuts[order] > 1
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        for name in ("a", "b", "w", "before", "below", "history", "local", "part"):
-            setattr(self, name, getattr(self, name)[order])
-        self.cut = cuts[order] > 1
         self.token = np.full(len(own.word), -1)
-        self.token[inside] = place[at]
+        self.token[inside] = place[rank[at]]
+        #: Each n-gram's place in the order of history and word.
+        self.rank = order
         self.seen = np.bincount(self.token[inside & own.train], minlength=len(gram))
-        self.starts = _starts(self.part, self.a, self.b)
+        self.starts = _starts(self.part, self.history)
 
 
 def pairs_of(own: Block, parts: int, hot: int) -> Level:
@@ -240,7 +246,7 @@ def triples_of(own: Block, pairs: Level, counts: np.ndarray, parts: int, hot: in
     last = np.concatenate([[-1], pairs.token[:-1]])
     inside = ~own.first & (of[last] > 0)
     numbers = lambda x: np.append(x, 0)[last]
-    return Level(own, inside, last, numbers(pairs.b), numbers(pairs.w), of[last], of[pairs.token], parts, hot)
+    return Level(own, inside, numbers(pairs.rank), numbers(pairs.b), numbers(pairs.w), of[last], of[pairs.token], parts, hot)
 
 
 ASK = pa.schema([("part", pa.int32()), ("block", pa.int64()), *((k, pa.binary()) for k in ("a", "b", "runs", "w", "below", "seen", "cut"))])
@@ -268,10 +274,19 @@ def _question(block: int, level: Level) -> pa.Table:
     return _table(asked, ASK)
 
 
-def _classes(x: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Per run: how many counts are 1..k, and the sum of those above, of what is inside."""
-    cols = [np.add.reduceat((inside & (x == r)).astype(np.int64), starts) for r in range(1, LIMIT + 1)]
-    return np.stack([*cols, np.add.reduceat(np.where(inside & (x > LIMIT), x, 0), starts)], axis=1)
+def _classes(x: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Per owner: how many counts are 1..k, and the sum of those above."""
+    low = x <= LIMIT
+    few = np.bincount(owner[low] * LIMIT + x[low] - 1, minlength=n * LIMIT).reshape(n, LIMIT)
+    above = np.bincount(owner[~low], weights=x[~low], minlength=n).astype(np.int64)
+    return np.concatenate([few, above[:, None]], axis=1)
+
+
+def _dense(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Pairs of numbers from 0 as one number each, in the same order."""
+    if len(x) and (int(x.max()) + 1) * (int(y.max()) + 1) >= 1 << 63:
+        x, y = (np.unique(z, return_inverse=True)[1] for z in (x, y))
+    return x * (y.max(initial=0) + 1) + y
 
 
 def _count(key, asked):
@@ -281,33 +296,32 @@ def _count(key, asked):
     block needs them; 2 has counts of counts.
     """
     lists = {k: [_unpack(x) for x in asked.column(k).to_pylist()] for k in ("a", "b", "runs", "cut")}
-    runs = np.concatenate(lists["runs"])
-    a, b = (np.repeat(np.concatenate(lists[k]), runs) for k in ("a", "b"))
+    runs, a, b = (np.concatenate(lists[k]) for k in ("runs", "a", "b"))
+    histories, some, history = np.unique(_dense(a, b), return_index=True, return_inverse=True)
     w, below, seen = (_joined(asked.column(k).to_pylist()) for k in ("w", "below", "seen"))
-    order = np.lexsort((w, b, a))
-    a, b = a[order], b[order]
-    first = _starts(a, b, w[order])
+    grams = _dense(np.repeat(history, runs), w)
+    order = np.argsort(grams)
+    first = _starts(grams[order])
     gram = np.empty(len(order), np.int64)
     gram[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
     count, under = np.add.reduceat(seen[order], first), np.maximum.reduceat(below[order], first)
-    a, b = a[first], b[first]
-    starts = _starts(a, b)
-    by = np.concatenate([_classes(count, count > 0, starts), _classes(under, count > 0, starts)], axis=1)
-    owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(first))))
+    owner, inside, n = np.repeat(history, runs)[order][first], count > 0, len(histories)
+    by = np.concatenate([_classes(x[inside], owner[inside], n) for x in (count, under)], axis=1)
+    del order, grams
     part = key[0].as_py()
-    out, cut_at, edge = [], set(), 0
+    out, cut_at, edge, run = [], set(), 0, 0
     for i, block in enumerate(asked.column("block").to_pylist()):
         n = lists["runs"][i]
-        grams = gram[edge : edge + n.sum()]
-        edge += int(n.sum())
-        mine, at = count[grams], np.cumsum(n) - n
+        mine, at = count[gram[edge : edge + n.sum()]], np.cumsum(n) - n
+        whose = history[run : run + len(n)]
+        edge, run = edge + int(n.sum()), run + len(n)
         # Only histories with a word never seen after them need their sums.
         lacks = np.add.reduceat((mine == 0).astype(np.int64), at) > 0
-        out.append({"kind": 0, "block": block, "part": part, "answer": _pack(mine), "left": _pack(by[owner[grams[at[lacks]]]].T.ravel())})
-        for h in owner[grams[at[lists["cut"][i] > 0]]].tolist():
+        out.append({"kind": 0, "block": block, "part": part, "answer": _pack(mine), "left": _pack(by[whose[lacks]].T.ravel())})
+        for h in whose[lists["cut"][i] > 0].tolist():
             cut_at.add(h)
-            out.append({"kind": 5, "block": block, "part": part, "a": int(a[starts[h]]), "b": int(b[starts[h]])})
-    out += [{"kind": 1, "part": part, "a": int(a[starts[h]]), "b": int(b[starts[h]]), "sums": by[h].tolist()} for h in cut_at]
+            out.append({"kind": 5, "block": block, "part": part, "a": int(a[some[h]]), "b": int(b[some[h]])})
+    out += [{"kind": 1, "part": part, "a": int(a[some[h]]), "b": int(b[some[h]]), "sums": by[h].tolist()} for h in cut_at]
     out.append({"kind": 2, "part": part, "sums": [int((count == r).sum()) for r in range(1, LIMIT + 2)]})
     return _table(out, TELL)
 
@@ -334,22 +348,26 @@ def _told(asked: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return told.where("kind = 0").unionByName(cut), discounts([x or 0 for x in of])
 
 
-def _answers(level: Level, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of a level's n-grams, and the sums of their histories (of those that lack a word)."""
+def _counts(told: pa.Table) -> np.ndarray:
+    """Counts of a level's n-grams, from its answers."""
+    plain = told.filter(pc.equal(told.column("kind"), 0))
+    return _joined([x for _, x in sorted(zip(plain.column("part").to_pylist(), plain.column("answer").to_pylist(), strict=True))])
+
+
+def _lacking(level: Level, counts: np.ndarray, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of histories that some word asked for was never seen after, and their sums."""
     plain = told.filter(pc.equal(told.column("kind"), 0))
-    by = sorted(zip(*(plain.column(k).to_pylist() for k in ("part", "answer", "left")), strict=True))
-    counts = _joined([x for _, x, _ in by])
-    runs = level.starts
-    values = np.zeros((len(runs), N_SUMS), np.int64)
-    if len(runs):
-        lacks = np.add.reduceat((counts == 0).astype(np.int64), runs) > 0
-        values[lacks] = np.concatenate([_unpack(x).reshape(N_SUMS, -1) for _, _, x in by], axis=1).T
+    left = [x for _, x in sorted(zip(plain.column("part").to_pylist(), plain.column("left").to_pylist(), strict=True))]
+    if not left:
+        return np.empty(0, np.int64), np.empty((0, N_SUMS), np.int64)
+    lacks = np.flatnonzero(np.add.reduceat((counts == 0).astype(np.int64), level.starts) > 0)
+    values = np.concatenate([_unpack(x).reshape(N_SUMS, -1) for x in left], axis=1).T
     cut = told.filter(pc.equal(told.column("kind"), 1))
     whole = {(x, y): z for x, y, z in zip(*(cut.column(k).to_pylist() for k in ("a", "b", "sums")), strict=True)}
-    if whole:
-        for i in np.flatnonzero(level.cut[runs]):
-            values[i] = whole[int(level.a[runs[i]]), int(level.b[runs[i]])]
-    return counts, np.repeat(values, np.diff(np.append(runs, len(counts))), axis=0)
+    at = level.starts[lacks]
+    for i in np.flatnonzero(level.cut[at]):
+        values[i] = whole[int(level.a[at[i]]), int(level.b[at[i]])]
+    return lacks, values
 
 
 def _used(sums_: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -361,12 +379,16 @@ def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.where(c <= LIMIT, d[np.minimum(c, LIMIT)], 1.0) * c
 
 
-def _probability(level: Level, counts, sums_, d, lower, d_lower, size_lower) -> np.ndarray:
+def _probability(level: Level, told: pa.Table, counts, d, lower, d_lower, size_lower) -> np.ndarray:
     """P of each n-gram; ``lower`` is that of its word after the shorter history, whose counts add up to ``size_lower`` - 1."""
-    size = level.before + 1.0
-    left = (size - _used(sums_[:, : LIMIT + 1], d)) / size
-    others = (size_lower - _used(sums_[:, LIMIT + 1 :], d_lower)) / size_lower
-    return np.where(counts > 0, _discounted(counts, d) / size, left / others * lower)
+    runs, values = _lacking(level, counts, told)
+    at = level.starts[runs]
+    size, below = level.before[at] + 1.0, size_lower[at]
+    left = (size - _used(values[:, : LIMIT + 1], d)) / size
+    backoff = np.ones(len(level.starts))
+    backoff[runs] = left / ((below - _used(values[:, LIMIT + 1 :], d_lower)) / below)
+    backoff = np.repeat(backoff, np.diff(np.append(level.starts, len(counts))))
+    return np.where(counts > 0, _discounted(counts, d) / (level.before + 1.0), backoff * lower)
 
 
 def score(docs: DataFrame, held_out: Column, part_tokens: int = PART_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
@@ -384,12 +406,13 @@ def score(docs: DataFrame, held_out: Column, part_tokens: int = PART_TOKENS, hot
     cut = rows.mapInArrow(_cut, schema)
     # Fewer buckets than shuffle partitions would be shuffled once more.
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    blocks = _in_buckets(cut, buckets)
+    early = [scratch_path(spark, "blocks"), scratch_path(spark, "words")]
+    blocks = _in_buckets(cut, buckets, early[0])
     tokens, begins = (x or 0 for x in blocks.agg(F.sum("tokens"), F.sum("trained")).first())
     parts = max(12, -(-tokens // part_tokens))
 
     asked = blocks.select("block", "held", "counts", "codes", "hashes").mapInArrow(_ask_words(parts), "part int, block long, keys binary, seen binary")
-    told = landed(asked.groupBy("part").applyInArrow(_count_words(parts), "block long, part int, number binary, count binary, of_counts array<long>"))
+    told = landed(asked.groupBy("part").applyInArrow(_count_words(parts), "block long, part int, number binary, count binary, of_counts array<long>"), early[1])
     of = told.where("block IS NULL").select([F.sum(F.col("of_counts")[r]) for r in range(LIMIT + 3)]).first()
     *of, total, vocabulary = (int(x or 0) for x in of)
     total += begins
@@ -405,7 +428,8 @@ def score(docs: DataFrame, held_out: Column, part_tokens: int = PART_TOKENS, hot
     numbered = blocks.drop("tokens", "trained").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _numbered(parts, begins, numbered_schema), f"block long, ids array<{kind}>, held binary, counts binary, codes binary, number binary, count binary"
     )
-    numbered = _in_buckets(numbered, buckets)
+    numbered = _in_buckets(numbered, buckets, scratch_path(spark, "numbered"))
+    release(spark, early)
     slim = numbered.drop("ids")
 
     def ask_pairs(batches):
@@ -418,8 +442,7 @@ def score(docs: DataFrame, held_out: Column, part_tokens: int = PART_TOKENS, hot
         row = _row_of(stored)
         own = Block(row)
         pairs = pairs_of(own, parts, hot_tokens)
-        counts, _ = _answers(pairs, told)
-        return _question(row["block"], triples_of(own, pairs, counts, parts, hot_tokens))
+        return _question(row["block"], triples_of(own, pairs, _counts(told), parts, hot_tokens))
 
     triple_told, d3 = _told(slim.groupBy("block").cogroup(pair_told.where("kind = 0").groupBy("block")).applyInArrow(ask_triples, ASK_SQL))
 
@@ -431,16 +454,15 @@ def score(docs: DataFrame, held_out: Column, part_tokens: int = PART_TOKENS, hot
         known = own.count > 0
         single = np.where(known, _discounted(own.count, d1), unknown) / size
         pairs = pairs_of(own, parts, hot_tokens)
-        counts, sums_ = _answers(pairs, of(2))
-        p2 = _probability(pairs, counts, sums_, d2, single[pairs.local], d1, size)
+        counts = _counts(of(2))
+        p2 = _probability(pairs, of(2), counts, d2, single[pairs.local], d1, np.full(len(counts), size))
         p = np.where(pairs.token >= 0, np.append(p2, 0)[pairs.token], single[own.word])
         triples = triples_of(own, pairs, counts, parts, hot_tokens)
         inside = triples.token >= 0
         lower, after = np.empty(len(triples.w)), np.empty(len(triples.w))
         lower[triples.token[inside]] = p[inside]
         after[triples.token[inside]] = pairs.before[pairs.token[inside]]
-        counts, sums_ = _answers(triples, of(3))
-        p3 = _probability(triples, counts, sums_, d3, lower, d2, after + 1.0)
+        p3 = _probability(triples, of(3), _counts(of(3)), d3, lower, d2, after + 1.0)
         p[inside] = p3[triples.token[inside]]
         return pa.table(
             {
