@@ -31,6 +31,36 @@ def test_every_pattern_against_every_text(spark):
     assert found == sorted({(i, j) for i, t in texts for j, p in made if t is not None and p is not None and re.search(p, t)})
 
 
+RARE = [
+    (r"(?:Customer|Supplier)#\d+1234$", "1234"), (r"(?=x|y)abc(?<z>d|e)", "abc"), (r"ab|cde", ""), (r"a(?i:b)cde", ""), (r"[ab]{100}x", "x"), (r"(ab){10,20}", ""), (r"[[ab]cde]f", ""),
+]
+
+
+@pytest.mark.parametrize("pattern, literal", RARE)
+def test_literal_part_beside_groups_and_repeats(spark, pattern, literal):
+    df = spark.createDataFrame([(pattern,)], "p string")
+    assert df.select(patterns.literal_part(F.col("p"))).first()[0] == literal
+
+
+def test_anchors_and_repeats(spark):
+    texts = ["ab" * 50, "x" + "ab" * 60, "ends 12", "ends 12\n", "ends 12\r\n", "ends 12\n\n", "12 starts", "", "\n", "b" * 100 + "c", "\x02ab", "\u00e9\U0001f600end"]
+    made = ["[ab]{100}", "(ab){10,50}", "12$", "^12", "^?12", "12$?", "^$", "(?:x|y)ab", "[[ab]xyz]ab", "b{100}c", "\U0001f600end$", "s 12\n$", "\\$|^1", "ends? 1(?:2|3)$"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string"), spark.createDataFrame(list(enumerate(made)), "pattern_id int, pattern string")
+    found = {tuple(r) for r in patterns.match_patterns(*df, "id", "t").collect()}
+    every = df[0].crossJoin(df[1]).where(F.regexp_like("t", F.col("pattern"))).select("id", "pattern_id")
+    assert found == {tuple(r) for r in every.collect()}
+
+
+def test_patterns_that_begin_alike_meet_few_texts(spark):
+    """A literal part that all texts have isn't what they are joined by."""
+    texts = spark.range(3000).select("id", F.format_string("Customer#%09d", "id").alias("t"))
+    asked = spark.range(1000).select(F.col("id").alias("pattern_id"), F.format_string("^Customer#0*%04d$", "id").alias("pattern"))
+    found = patterns.match_patterns(texts, asked, "id", "t")
+    assert sorted(map(tuple, found.collect())) == [(i, i) for i in range(1000)]
+    indexed = patterns.indexed_patterns(asked.select(F.col("pattern").alias("__pattern")), texts.select(patterns._marked(F.col("t")).alias("__marked")))
+    assert indexed.agg(F.max("__n")).first()[0] <= 30
+
+
 def test_plan_has_no_nested_loop(spark):
     df = spark.createDataFrame([(1, "abc")], "id int, t string"), spark.createDataFrame([(1, "abc")], "pattern_id int, pattern string")
     plan = patterns.match_patterns(*df, "id", "t")._jdf.queryExecution().executedPlan().toString()
