@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from vigilframe.llm import neardup
@@ -100,3 +102,37 @@ def test_odd_rows(spark):
 def test_few_rows(spark, rows):
     found = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame(spark, rows)).collect()}
     assert found == {d: 1 for d, _ in rows}
+
+
+def test_large_buckets_are_compared_in_full(spark, monkeypatch):
+    """Pairs among hundreds of others that are less alike, with one hub a bucket and no small bucket."""
+    monkeypatch.setattr(neardup, "HUBS", (1,))
+    monkeypatch.setattr(neardup, "GROUP", 40, raising=False)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    while len(texts) < 240:
+        one = changed(base, 12, rng)
+        texts += [one, changed(one, 3, rng)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame(spark, rows), bands=5, rows=1).collect()}
+    expected = classes(rows)
+    assert len(set(expected.values())) <= 130
+    # Two documents of 0.86 have no bucket in common with a probability of 5e-5.
+    assert found == expected
+
+
+def test_overlaps_of_bags():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.choice([3, 40, 60]))) for _ in range(30)] + ["", "x y z", None]
+    sets = neardup.tokens(pa.array(texts), 5)
+    for columns in (7, 4096):
+        found = neardup.overlaps(sets, columns)
+        assert all(found[i, j] == similarity(bag(a), bag(b)) for i, a in enumerate(texts) for j, b in enumerate(texts) if i != j)
+
+
+def test_links_of_a_group_are_a_star():
+    chain = np.eye(6, dtype=bool)
+    for a, b in ((5, 3), (3, 1), (4, 2)):
+        chain[a, b] = chain[b, a] = True
+    assert neardup.linked(chain).tolist() == [0, 1, 2, 1, 2, 1]
