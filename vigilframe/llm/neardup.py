@@ -14,10 +14,13 @@ what is outside, in further rounds; as nearly all copies find one of their group
 smaller than the one before.  Every round is linear in the rows of the buckets.
 
 What the rounds leave outside meets all other members of its buckets, however large, but those of
-its own component and those whose signatures rule a link out.  Both sides are dealt into groups of
-a bounded number of words, and the texts of a group are compared all with all, so that a text moves
-once for a group of others, not once for each.  Rounds thus only spare comparisons: every two
-documents of a bucket end up compared, in one component, or ruled out by their signatures.
+its own component and those that a proof rules out: what two documents have in common is at most
+what either has in common with any document of another component.  A near copy with too many words
+of its own thus goes by one count over the shingles, whatever the size of its group.  Of the others
+both sides are dealt into groups of a bounded number of words, and the texts of a group are compared
+all with all, so that a text moves once for a group of others, not once for each.  Signatures and
+rounds only spare comparisons: every two documents of a bucket end up compared, in one component, or
+proven to be less alike.
 """
 
 from __future__ import annotations
@@ -183,7 +186,7 @@ def met(groups: DataFrame, docs: DataFrame, n_words: int, threshold: float) -> D
     All texts of a group are compared.  What they link is one star, not all its pairs.
     """
     # Stored, the groups have a known size: texts that are in none aren't moved if it is small.
-    groups = landed(groups.distinct())
+    groups = landed(groups.select("g", "x").distinct())
     texts = docs.select(F.col("doc_id").alias("x"), "text")
     rows = groups.join(texts, "x").select("g", "x", "text").repartition("g").sortWithinPartitions("g")
 
@@ -215,6 +218,28 @@ def met(groups: DataFrame, docs: DataFrame, n_words: int, threshold: float) -> D
     return rows.mapInArrow(check, "a long, b long").where("a <> b")
 
 
+def lonely(docs: DataFrame, rooted: DataFrame, n_words: int) -> DataFrame:
+    """(x, lonely): a number of ``tokens`` that x has and no document of another root in ``rooted(x, root)``.
+
+    It may be less than there are: a token that several documents of one root share counts for one
+    of them.  Rows of one doc_id are not told apart, so those with several are left out.
+    """
+    own = landed(rooted.select("x", "root").distinct())
+    several = docs.groupBy(F.col("doc_id").alias("x")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x")
+    rows = own.join(docs.select(F.col("doc_id").alias("x"), "text"), "x").select("x", "root", "text")
+
+    def cut(batches):
+        for batch in slices(batches, 2, BATCH_BYTES):
+            sets = tokens(batch.column(2), n_words)
+            which = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            token = pa.array(np.concatenate(sets).view(np.int64)) if sets else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), batch.column(1).take(which), token], names=["x", "root", "token"])
+
+    held = rows.mapInArrow(cut, "x long, root long, token long")
+    one = held.groupBy("token").agg(F.min("x").alias("x"), F.min("root").alias("least"), F.max("root").alias("most")).where("least = most")
+    return one.groupBy("x").agg(F.count(F.lit(1)).alias("lonely")).join(several, "x", "left_anti")
+
+
 def _parts(size: Column, weight: Column) -> Column:
     """Into how many groups so many documents of so many shingles are dealt."""
     return F.ceil(F.greatest(size / GROUP, weight / GROUP_SHINGLES)).cast("long")
@@ -305,15 +330,24 @@ def near_duplicates(docs: DataFrame, *, n_words: int = SHINGLE, bands: int = BAN
         first = landed(first.unionByName(met(_around(new), known, n_words, threshold)))
         found = landed(components(first))
     # What is still outside meets all members that may link; both sides are dealt into groups.
-    rooted = landed(_outside(members, found).withColumn("within", F.col("root") == F.col("main")))
-    sizes = rooted.select("main", "within", "x", "weight").distinct().groupBy("main", "within").agg(_parts(F.count(F.lit(1)), F.sum("weight")).alias("parts"))
+    rooted = landed(_outside(members, found).select("key", "x", "weight", "root", "main", (F.col("root") == F.col("main")).alias("within")))
+    common = F.col("weight") - F.coalesce("lonely", F.lit(0))
+    able = rooted.join(lonely(known, rooted, n_words), "x", "left").withColumn("common", common)
+    # A link needs that share of the larger of two in common; some more for rounding.
+    able = able.where(F.col("common") + 1e-6 >= F.lit(threshold) * F.col("weight")).drop("lonely")
+    apart = able.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+    able = landed(able.join(apart, "key"))
+    sizes = able.select("main", "within", "x", "weight").distinct().groupBy("main", "within").agg(_parts(F.count(F.lit(1)), F.sum("weight")).alias("parts"))
     part = F.struct("within", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"))
-    dealt = rooted.join(sizes, ["main", "within"]).select("main", "key", "x", "weight", "bits", "root", "within", part.alias("part"))
-    all_of = dealt.groupBy("key", F.col("part").alias("met")).agg(F.collect_list(F.struct("x", "weight", "bits", "root")).alias("others"))
-    own = F.struct("x", "weight", "bits")
+    dealt = able.join(sizes, ["main", "within"]).select("main", "key", "x", "weight", "common", "root", "within", part.alias("part"))
+    all_of = dealt.groupBy("key", F.col("part").alias("met")).agg(F.collect_list(F.struct("weight", "common", "root")).alias("others"))
+
+    def not_ruled_out(o: Column) -> Column:
+        enough = F.lit(1 + threshold) * F.least(F.col("common"), o["common"]) + 1e-6 >= F.lit(threshold) * (F.col("weight") + o["weight"])
+        return (o["root"] != F.col("root")) & enough
+
     # Both sides ask, so that a group has those of either that may link with some of the other.
-    may = F.exists("others", lambda o: (o["root"] != F.col("root")) & may_link(own, o))
-    asked = dealt.join(all_of, "key").where("NOT (within AND met.within)").where(may)
+    asked = dealt.join(all_of, "key").where("NOT (within AND met.within)").where(F.exists("others", not_ruled_out))
     groups = asked.select(F.xxhash64("main", F.least("part", "met"), F.greatest("part", "met")).alias("g"), "x")
     second = met(groups, known, n_words, threshold)
     final = components(landed(first.unionByName(second).unionByName(copies)))
