@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from vigilframe.llm import neardup
+from vigilframe.llm import components, neardup
 
 SCHEMA = "doc_id long, text string, key string, x string, n string, gone int, root int"
 WHITE = " \t\n\x0b\x0c\r"
@@ -155,3 +155,17 @@ def test_lonely_tokens(spark):
     found = {r.x: r.lonely for r in neardup.lonely(frame(spark, rows).select("doc_id", "text"), roots, 5).collect()}
     # 4 has two texts; what 5 shares with 4 alone may count for either.
     assert found in ({1: 1, 2: 1, 3: 3, 5: 1}, {1: 1, 2: 1, 3: 3, 5: 3})
+
+
+def test_one_large_group_takes_few_stored_tables(spark, monkeypatch):
+    """Near copies and as many texts that are almost near copies, in the same buckets, go without many rounds."""
+    stored = []
+    for module in (neardup, components):
+        monkeypatch.setattr(module, "landed", lambda df, real=module.landed: stored.append(df.columns) or real(df))
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(150)]
+    texts = [changed(base, rng.choice([0, 1, 2, 7, 8, 12]), rng) for _ in range(150)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == classes(rows)
+    assert len(stored) <= 24

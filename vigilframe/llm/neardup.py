@@ -8,10 +8,10 @@ the first point of each.  Two documents agree on a place with the probability of
 Jaccard similarity.  Agreement on all rows of a band makes a bucket.
 
 Buckets aren't paired out.  Each document is compared with that one of some members of its buckets
-(hubs, drawn at random) whose signature is most like its own.  What this leaves outside the
-bucket's largest component meets other hubs of that component, more of them, and hubs drawn from
-what is outside, in further rounds; as nearly all copies find one of their group, a round is far
-smaller than the one before.  Every round is linear in the rows of the buckets.
+(hubs, drawn at random) whose signature is most like its own, and the hubs of a large bucket with
+one another.  Nearly all copies of a group come together so.  If ``HUBS`` names further rounds, what is left outside the bucket's largest component
+meets other hubs of that component, and hubs drawn from what is outside.  Every round is linear in
+the rows of the buckets.
 
 What the rounds leave outside meets all other members of its buckets, however large, but those of
 its own component and those that a proof rules out: what two documents have in common is at most
@@ -43,8 +43,8 @@ THRESHOLD = 0.8
 #: Bytes of text whose points are drawn at a time.
 BATCH_BYTES = 2 << 20
 #: Hubs of a bucket in each round, and hubs drawn from the documents outside its largest component.
-HUBS, OUTSIDE_HUBS = (8, 64, 64, 64), 8
-#: Buckets of up to so many members are not worth further rounds: all their members meet at once.
+HUBS, OUTSIDE_HUBS = (32,), 8
+#: Buckets of up to so many members are not worth meetings of hubs and further rounds: all their members meet at last.
 SMALL = 16
 #: Documents and shingles of a group whose texts are compared all with all.
 GROUP, GROUP_SHINGLES = 256, 150_000
@@ -181,14 +181,14 @@ def linked(similar: np.ndarray) -> np.ndarray:
 
 
 def met(groups: DataFrame, docs: DataFrame, n_words: int, threshold: float) -> DataFrame:
-    """(a, b): links that hold the similar texts of each group of ``groups(g, x)`` together.
+    """(a, b): links that hold the similar texts of each group of ``groups(g, x, name)`` together, by name.
 
     All texts of a group are compared.  What they link is one star, not all its pairs.
     """
     # Stored, the groups have a known size: texts that are in none aren't moved if it is small.
-    groups = landed(groups.select("g", "x").distinct())
+    groups = landed(groups.select("g", "x", "name").distinct())
     texts = docs.select(F.col("doc_id").alias("x"), "text")
-    rows = groups.join(texts, "x").select("g", "x", "text").repartition("g").sortWithinPartitions("g")
+    rows = groups.join(texts, "x").select("g", "name", "text").repartition("g").sortWithinPartitions("g")
 
     def star(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         if len(ids) == 2:
@@ -246,10 +246,10 @@ def _parts(size: Column, weight: Column) -> Column:
 
 
 def _around(near: DataFrame) -> DataFrame:
-    """Groups (g, x) of hubs with the documents nearest to them, from (x, weight, hub)."""
+    """Groups (g, x, name), named by themselves, of hubs with the documents nearest to them, from (x, weight, hub)."""
     sizes = near.groupBy("hub").agg(_parts(F.count(F.lit(1)), F.sum("weight")).alias("parts"))
     g = F.xxhash64("hub", F.pmod(F.xxhash64("x"), F.col("parts")))
-    return near.join(sizes, "hub").select(g.alias("g"), F.explode(F.array("x", "hub")).alias("x")).distinct()
+    return near.join(sizes, "hub").select(g.alias("g"), F.explode(F.array("x", "hub")).alias("x")).withColumn("name", F.col("x"))
 
 
 def _differing(a: Column, b: Column, longs: int) -> Column:
@@ -258,15 +258,15 @@ def _differing(a: Column, b: Column, longs: int) -> Column:
 
 
 def _hubs(members: DataFrame, n: int, seed: int) -> DataFrame:
-    """(key, hubs): up to ``n`` members of each bucket, one of each slot that ids are dealt to.
+    """(key, hubs, n): up to ``n`` members of each bucket, one of each slot that ids are dealt to.
 
     Buckets of four groups share their order, so that a document meets the same hub in many of
-    them and is compared with it once; no document is a hub of all.
+    them and is compared with it once; no document is a hub of all.  ``n`` is the bucket's size.
     """
     order = F.struct(F.xxhash64(F.lit(seed), F.pmod("key", F.lit(4)), "x"), "x")
     slot = F.pmod(F.xxhash64(F.lit(seed + 1), "x"), F.lit(n)).alias("slot")
-    one = members.groupBy("key", slot).agg(F.min_by(F.struct("x", "weight", "bits"), order).alias("hub"))
-    return one.groupBy("key").agg(F.collect_list("hub").alias("hubs"))
+    one = members.groupBy("key", slot).agg(F.min_by(F.struct("x", "weight", "bits"), order).alias("hub"), F.count(F.lit(1)).alias("n"))
+    return one.groupBy("key").agg(F.collect_list("hub").alias("hubs"), F.sum("n").alias("n"))
 
 
 def _outside(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -311,7 +311,7 @@ def near_duplicates(docs: DataFrame, *, n_words: int = SHINGLE, bands: int = BAN
         """(x, weight, hub): the most similar hub in all buckets of a document (and each of ``per``), if any may link."""
         own = F.struct("x", "weight", "bits")
         near = F.transform(F.filter("hubs", lambda h: may_link(own, h)), lambda h: F.struct(_differing(F.col("bits"), h["bits"], longs).alias("differ"), h["x"].alias("x")))
-        found = rows.join(hubs, "key").select("x", "weight", *per, F.array_min(near).alias("near")).where("near IS NOT NULL")
+        found = rows.join(hubs.select("key", "hubs"), "key").select("x", "weight", *per, F.array_min(near).alias("near")).where("near IS NOT NULL")
         return found.groupBy("x", "weight", *per).agg(F.min("near")["x"].alias("hub")).select("x", "weight", "hub")
 
     buckets = classes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("x"))
@@ -320,15 +320,18 @@ def near_duplicates(docs: DataFrame, *, n_words: int = SHINGLE, bands: int = BAN
     members = landed(buckets.join(shared, "key").join(marks, "x"))
     # Of the texts only those that share a bucket are read again.
     known = landed(known.join(landed(members.select(F.col("x").alias("doc_id")).distinct()), "doc_id", "left_semi"))
-    first = landed(met(_around(nearest_hub(members, _hubs(members, HUBS[0], 0))), known, n_words, threshold))
-    found = landed(components(first))
+    hubs = landed(_hubs(members, HUBS[0], 0))
+    meet = hubs.where(F.col("n") > SMALL).select(F.xxhash64(F.lit("hubs"), "key").alias("g"), F.explode("hubs.x").alias("x")).withColumn("name", F.col("x"))
+    first = landed(met(_around(nearest_hub(members, hubs)).unionByName(meet), known, n_words, threshold))
+    # Without further rounds copies are linked at once.
+    found = landed(components(first if HUBS[1:] else first.unionByName(copies)))
     for step, n in enumerate(HUBS[1:], 1):
         rooted = landed(_outside(members, found).where(F.col("n") > SMALL))
         strays = rooted.where("root <> main")
         new = nearest_hub(strays, _hubs(rooted.where("root = main"), n, 4 * step), "main")
         new = new.unionByName(nearest_hub(strays, _hubs(strays, OUTSIDE_HUBS, 4 * step + 2))).distinct()
         first = landed(first.unionByName(met(_around(new), known, n_words, threshold)))
-        found = landed(components(first))
+        found = landed(components(first if step + 1 < len(HUBS) else first.unionByName(copies)))
     # What is still outside meets all members that may link; both sides are dealt into groups.
     rooted = landed(_outside(members, found).select("key", "x", "weight", "root", "main", (F.col("root") == F.col("main")).alias("within")))
     common = F.col("weight") - F.coalesce("lonely", F.lit(0))
@@ -348,12 +351,14 @@ def near_duplicates(docs: DataFrame, *, n_words: int = SHINGLE, bands: int = BAN
 
     # Both sides ask, so that a group has those of either that may link with some of the other.
     asked = dealt.join(all_of, "key").where("NOT (within AND met.within)").where(F.exists("others", not_ruled_out))
-    groups = asked.select(F.xxhash64("main", F.least("part", "met"), F.greatest("part", "met")).alias("g"), "x")
-    second = met(groups, known, n_words, threshold)
-    final = components(landed(first.unionByName(second).unionByName(copies)))
-    final = landed(final.select(F.col("node").alias("__node"), F.col("root").alias("__root")))
-    joined = docs.select("doc_id").join(final, F.col("doc_id") == F.col("__node"), "left")
-    class_id = F.coalesce("__root", "doc_id")
+    groups = asked.select(F.xxhash64("main", F.least("part", "met"), F.greatest("part", "met")).alias("g"), "x", F.col("root").alias("name"))
+    # What links now are components, by their roots: the least of the roots is that of all.
+    second = met(groups, known, n_words, threshold).distinct()
+    over = components(second).select(F.col("node").alias("__above"), F.col("root").alias("__over"))
+    below = found.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+    joined = docs.select("doc_id").join(below, F.col("doc_id") == F.col("__node"), "left").withColumn("__above_of", F.coalesce("__root", "doc_id"))
+    joined = joined.join(over, F.col("__above_of") == F.col("__above"), "left")
+    class_id = F.coalesce("__over", "__above_of")
     return joined.select("doc_id", class_id.alias("class_id"), F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
