@@ -7,7 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from vigilframe.llm import components, neardup
+from vigilframe.operators.lineage import scratch_paths
 
 SCHEMA = "doc_id long, text string, key string, x string, n string, gone int, root int"
 WHITE = " \t\n\x0b\x0c\r"
@@ -169,3 +171,12 @@ def test_one_large_group_takes_few_stored_tables(spark, monkeypatch):
     found = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame(spark, rows)).collect()}
     assert found == classes(rows)
     assert len(stored) <= 24
+
+
+def test_pipeline_stage_holds_few_tables(spark):
+    """What the stage has on disk at once, in tables: it is released when the next stage begins."""
+    before = set(scratch_paths(spark))
+    rows = [(i, f"text number {i % 7} of a few with the same words") for i in range(30)]
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(7))
+    assert len(set(scratch_paths(spark)) - before) <= 20
